@@ -8,6 +8,7 @@ the local machine is used.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,15 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def free(self) -> None:
+        """Let Spark delete shuffle files of finished plans now.
+
+        It deletes them when the driver collects its garbage, which a long
+        chain of tables may not reach before the disks fill up.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *tables: DataFrame | None) -> None:
         """Delete tables made by ``save`` that no later plan reads."""
         for t in tables:
