@@ -26,3 +26,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.topn import suspicious_photos
 
     return suspicious_photos(_table(spark, sf_dir, "image_evals"), _table(spark, sf_dir, "results"))
+
+
+@_query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.components import photo_groups
+
+    return photo_groups(_table(spark, sf_dir, "images"), _table(spark, sf_dir, "match_pairs"))
+
+
+@_query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.increments import repeated_photos
+
+    return repeated_photos(_table(spark, sf_dir, "images"))

@@ -27,3 +27,36 @@ WITH newest AS (
 )
 SELECT outlet_id, list_name, CAST(r AS INTEGER) AS rank_no, file_name FROM ranked WHERE r <= 5
 """
+
+#: One row per record of ``images``: its lowest batch counts; trimmed lower-case sha256; the dhash as bits where it can be near another.
+_RECORDS = r"""
+records AS (
+  SELECT image_id, batch_no, sha, bits FROM (
+    SELECT image_id, batch_no, lower(regexp_replace(sha256, '^\s+|\s+$', '', 'g')) AS sha,
+      CASE WHEN octet_length(dhash) = 32 AND hex(dhash) <> repeat('0', 64) THEN dhash::BIT END AS bits
+    FROM images WHERE image_id IS NOT NULL)
+  QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY batch_no, sha DESC NULLS LAST, bits DESC NULLS LAST) = 1
+)"""
+
+ORACLE["p2_found"] = rf"""
+WITH RECURSIVE {_RECORDS}, node AS (
+  SELECT sha, min(image_id) AS node FROM records WHERE sha IS NOT NULL GROUP BY sha
+), pair AS (
+  SELECT a.node AS u, b.node AS v
+  FROM (SELECT lower(regexp_replace(sha256_a, '^\s+|\s+$', '', 'g')) AS sa, lower(regexp_replace(sha256_b, '^\s+|\s+$', '', 'g')) AS sb
+        FROM match_pairs WHERE lower(regexp_replace(verdict, '^\s+|\s+$', '', 'g')) = 'match') m
+  JOIN node a ON a.sha = m.sa JOIN node b ON b.sha = m.sb WHERE a.node <> b.node
+), edge AS (
+  SELECT u, v FROM pair UNION SELECT v, u FROM pair
+), reach AS (
+  SELECT u AS node, u AS seen FROM edge
+  UNION SELECT r.node, e.v FROM reach r JOIN edge e ON e.u = r.seen
+), label AS (
+  SELECT node, min(seen) AS group_id FROM reach GROUP BY node
+), labelled AS (
+  SELECT coalesce(l.group_id, n.node) AS group_id, r.image_id
+  FROM records r JOIN node n ON n.sha = r.sha LEFT JOIN label l ON l.node = n.node
+)
+SELECT group_id, image_id FROM labelled
+WHERE group_id IN (SELECT group_id FROM labelled GROUP BY group_id HAVING count(*) > 1)
+"""
