@@ -40,3 +40,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.increments import repeated_photos
 
     return repeated_photos(_table(spark, sf_dir, "images"))
+
+
+@_query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.paritysketch import near_photos
+
+    return near_photos(_table(spark, sf_dir, "images"))

@@ -60,3 +60,39 @@ WITH RECURSIVE {_RECORDS}, node AS (
 SELECT group_id, image_id FROM labelled
 WHERE group_id IN (SELECT group_id FROM labelled GROUP BY group_id HAVING count(*) > 1)
 """
+
+ORACLE["p5_found"] = rf"""
+WITH {_RECORDS}, near AS (
+  SELECT a.image_id AS a, b.image_id AS b
+  FROM (SELECT * FROM records WHERE bits IS NOT NULL) a JOIN (SELECT * FROM records WHERE bits IS NOT NULL) b
+    ON a.image_id < b.image_id AND bit_count(xor(a.bits, b.bits)) <= 8
+  WHERE a.sha IS NULL OR b.sha IS NULL OR a.sha <> b.sha
+)
+SELECT a AS image_id_a, b AS image_id_b FROM near
+"""
+
+
+def _by_batch(last: int) -> str:
+    """Batches 1 to ``last`` in their order: a record is a case of its batch or accepted with it."""
+    steps = ["acc0 AS MATERIALIZED (SELECT image_id FROM records WHERE batch_no = 0)"]
+    for b in range(1, last + 1):
+        steps.append(
+            f"case{b} AS MATERIALIZED (SELECT min(l.a) AS earlier_id, l.b AS image_id FROM link l JOIN acc{b - 1} ON acc{b - 1}.image_id = l.a WHERE l.batch_b = {b} GROUP BY l.b)"
+        )
+        steps.append(
+            f"acc{b} AS MATERIALIZED (SELECT image_id FROM acc{b - 1} UNION ALL SELECT image_id FROM records WHERE batch_no = {b} AND image_id NOT IN (SELECT image_id FROM case{b}))"
+        )
+    return ",\n".join(steps) + "\n" + "\nUNION ALL ".join(f"SELECT earlier_id, image_id FROM case{b}" for b in range(1, last + 1))
+
+
+#: batch_no runs from 0 to 8 in this data.
+ORACLE["p4_found"] = rf"""
+WITH {_RECORDS}, link AS MATERIALIZED (
+  SELECT a.image_id AS a, b.image_id AS b, b.batch_no AS batch_b FROM records a JOIN records b ON a.sha = b.sha AND a.batch_no < b.batch_no
+  UNION
+  SELECT a.image_id, b.image_id, b.batch_no
+  FROM (SELECT * FROM records WHERE bits IS NOT NULL) a JOIN (SELECT * FROM records WHERE bits IS NOT NULL AND batch_no > 0) b
+    ON a.batch_no < b.batch_no AND bit_count(xor(a.bits, b.bits)) <= 8
+),
+{_by_batch(8)}
+"""
