@@ -47,3 +47,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.paritysketch import near_photos
 
     return near_photos(_table(spark, sf_dir, "images"))
+
+
+@_query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.permutation import similar_photos
+
+    return similar_photos(_table(spark, sf_dir, "image_vectors"))
