@@ -54,3 +54,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.permutation import similar_photos
 
     return similar_photos(_table(spark, sf_dir, "image_vectors"))
+
+
+@_query
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.tokens import encoded
+
+    return encoded(_table(spark, sf_dir, "documents"), "doc_id", "text")
