@@ -61,3 +61,10 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.tokens import encoded
 
     return encoded(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@_query
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.leaks import leaked_items
+
+    return leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
