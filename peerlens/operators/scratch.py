@@ -8,9 +8,9 @@ the local machine is used.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +28,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def shuffle_files_end_with_the_plan(spark: SparkSession):
+    """Delete the shuffle files of each plan when it ends.
+
+    By default they stay until the driver collects its garbage, and a chain of
+    tables piles them up.  A plan that has written its table needs them no more.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Scratch:
     """A private folder of intermediate tables."""
 
@@ -43,20 +59,12 @@ class Scratch:
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write ``df`` and return it as a fresh scan; ``drop`` takes the result."""
         path = self.path(name)
-        df.write.parquet(path)
+        with shuffle_files_end_with_the_plan(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
-    def free(self) -> None:
-        """Let Spark delete shuffle files of finished plans now.
-
-        It deletes them when the driver collects its garbage, which a long
-        chain of tables may not reach before the disks fill up.
-        """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, *tables: DataFrame | None) -> None:
         """Delete tables made by ``save`` that no later plan reads."""
         for t in tables:
