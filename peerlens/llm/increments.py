@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from peerlens.llm.blocks import candidate_pairs, postings, verified
 from peerlens.llm.photos import photo_records
-from peerlens.operators.scratch import Scratch
+from peerlens.operators.scratch import Scratch, shuffle_files_end_with_the_plan
 
 #: Bits in which near fingerprints may differ.
 MAX_DISTANCE = 8
@@ -67,8 +67,9 @@ class History:
 
         A fingerprint that is there already is posted again; pairs are distinct.
         """
-        accepted.select("image_id", "batch_no", "sha", "bits").write.mode("append").parquet(f"{self.path}/records")
-        postings(_strings(accepted, False), self.k).select("key", "id").write.mode("append").parquet(f"{self.path}/blocks")
+        with shuffle_files_end_with_the_plan(self.spark):
+            accepted.select("image_id", "batch_no", "sha", "bits").write.mode("append").parquet(f"{self.path}/records")
+            postings(_strings(accepted, False), self.k).select("key", "id").write.mode("append").parquet(f"{self.path}/blocks")
 
     def admit(self, batches: DataFrame, scratch: Scratch) -> DataFrame:
         """(earlier_id, image_id) of the records of ``batches`` that repeat an accepted one; the others are appended.
@@ -81,10 +82,8 @@ class History:
         old, new = self.records(), batches
         links = self._near(old, new, scratch)
         first = scratch.save(self._against_history(old, new, links), "against-history")
-        scratch.free()
         decided = self._replay(first, links, scratch)
         self.append(decided.where("earlier_id is null").join(new.select("image_id", "sha", "bits"), "image_id").select("image_id", "batch_no", "sha", "bits"))
-        scratch.free()
         return decided.where("earlier_id is not null").select("earlier_id", "image_id")
 
     def _near(self, old: DataFrame, new: DataFrame, scratch: Scratch) -> DataFrame:
@@ -92,14 +91,12 @@ class History:
         fresh = scratch.save(_strings(new, True), "fresh")
         posts = postings(fresh, self.k)
         hits = scratch.save(self.blocks().join(posts.select("key").distinct(), "key", "left_semi").select("key", "id", F.lit(False).alias("fresh")), "hits")
-        scratch.free()
         # Strings of the history are only read where a key is hot; those that are new as well stay fresh there.
         every = fresh.unionByName(_strings(old, False).join(fresh.select("id"), "id", "left_anti"))
         pairs = candidate_pairs(every, self.k, scratch, posts=posts.unionByName(hits))
         near = verified(pairs, _named(old).unionByName(_named(new)), self.k, scratch)
         both = near.select(F.explode(F.array(F.struct(F.col("bits_a").alias("bits"), F.col("bits_b").alias("near")), F.struct(F.col("bits_b").alias("bits"), F.col("bits_a").alias("near")))).alias("e"))
         links = scratch.save(both.select("e.*"), "near")
-        scratch.free()
         return links
 
     @staticmethod
@@ -129,7 +126,6 @@ class History:
         marked = first.join(sha_from, "sha", "left").join(bits_from, "bits", "left").select("image_id", "batch_no", "sha", "bits", "old_id", waits.alias("waits"))
         marked = scratch.save(marked, "marked")
         waiting = scratch.save(marked.where("waits").drop("waits"), "waiting")
-        scratch.free()
         reached = waiting.select("bits").unionByName(waiting.join(links, "bits").select(F.col("near").alias("bits"))).distinct()
         giving = marked.where("old_id is null")
         givers = giving.join(waiting.select("sha").distinct(), "sha", "left_semi").unionByName(giving.join(reached, "bits", "left_semi")).distinct()
@@ -161,11 +157,9 @@ def repeated_photos(images: DataFrame, max_distance: int = MAX_DISTANCE) -> Data
     spark = images.sparkSession
     scratch = Scratch(spark, "increments")
     records = scratch.save(photo_records(images), "records")
-    scratch.free()
     first = records.agg(F.min("batch_no")).first()[0]
     if first is None:
         return spark.createDataFrame([], "earlier_id long, image_id long")
     history = History(spark, f"{scratch.root}/history", max_distance)
     history.append(records.where(F.col("batch_no") == first))
-    scratch.free()
     return history.admit(records.where(F.col("batch_no") > first), scratch)

@@ -70,14 +70,12 @@ def near_fingerprints(records: DataFrame, k: int, scratch: Scratch) -> DataFrame
     named = records.where(F.col("bits").isNotNull()).select(F.xxhash64("bits").alias("id"), "bits").distinct()
     sketched = named.mapInArrow(_sketched, "id long, bits binary, hex string, size int")
     sketched = scratch.save(sketched, "sketches")
-    scratch.free()
     band = F.floor((F.col("size") + BAND // 2) / BAND).cast("int")
     # The top k sizes of a band also stand in the next one, where records of up to k more tokens are.
     both = F.when((F.col("size") + BAND // 2) % BAND >= BAND - k, F.array(band, band + 1)).otherwise(F.array(band))
     banded = sketched.select("id", "hex", F.lit(True).alias("fresh"), F.explode(both).alias("band"))
     pairs = candidate_pairs(banded, k, scratch, scope="band")
     near = scratch.save(verified(pairs, sketched.select("id", "bits"), k, scratch).select("bits_a", "bits_b"), "near")
-    scratch.free()
     return near
 
 
@@ -93,14 +91,12 @@ def near_photos(images: DataFrame, k: int = 8) -> DataFrame:
     records = photo_records(images).where(F.col("bits").isNotNull())
     own = F.coalesce(F.col("sha"), F.concat(F.unhex(F.lit("00")), F.col("image_id").cast("string").cast("binary")))
     records = scratch.save(records.select("bits", own.alias("sha"), "image_id"), "records")
-    scratch.free()
     near = near_fingerprints(records, k, scratch)
     # Fingerprints held under more than one sha are near to themselves.
     mixed = records.groupBy("bits").agg(F.min("sha").alias("lo"), F.max("sha").alias("hi")).where("lo <> hi").select(F.col("bits").alias("bits_a"), F.col("bits").alias("bits_b"))
     linked = scratch.save(near.unionByName(mixed), "linked")
     wanted = linked.select(F.explode(F.array("bits_a", "bits_b")).alias("bits")).distinct()
     members = scratch.save(records.join(wanted, "bits", "left_semi"), "members")
-    scratch.free()
     classes = scratch.save(members.select("bits", "sha").distinct(), "classes")
     at_a = classes.select(F.col("bits").alias("bits_a"), F.col("sha").alias("sha_a"))
     at_b = classes.select(F.col("bits").alias("bits_b"), F.col("sha").alias("sha_b"))

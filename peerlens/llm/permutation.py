@@ -162,7 +162,6 @@ def nearest_vectors(
     pivots_b = spark.sparkContext.broadcast(pivots)
     posted = reps.select("rep", "ids", "vec").mapInArrow(_posted(pivots_b, prefix), "rep long, ids array<long>, raw binary, pivots array<int>")
     posted = scratch.save(posted, "posted")
-    scratch.free()
     # Lists by pivot; their number is bounded, so those that are long can be a literal map.
     sizes = posted.select(F.explode("pivots").alias("pivot")).groupBy("pivot").count().where(F.col("count") > longest)
     long_lists = {r["pivot"]: -(-r["count"] // longest) for r in sizes.collect()}
