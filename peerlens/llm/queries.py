@@ -68,3 +68,10 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from peerlens.llm.leaks import leaked_items
 
     return leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
+
+
+@_query
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from peerlens.llm.languages import mended_labels
+
+    return mended_labels(_table(spark, sf_dir, "documents"), "doc_id", "text", "lang").select("doc_id", "seg_no", "lang")
