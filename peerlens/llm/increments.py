@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.llm.blocks import candidate_pairs, postings, verified
+from peerlens.operators.blocks import candidate_pairs, postings, verified
 from peerlens.llm.photos import photo_records
 from peerlens.operators.scratch import Scratch, shuffle_files_end_with_the_plan
 

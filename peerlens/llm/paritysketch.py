@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlens.llm.blocks import candidate_pairs, verified
+from peerlens.operators.blocks import candidate_pairs, verified
 from peerlens.llm.photos import photo_records
 from peerlens.operators.scratch import Scratch
 
