@@ -164,3 +164,92 @@ def support_groups(asking: DataFrame, others: DataFrame, floor: float, min_size:
     return found.where((F.col("n_peers") > 0) & (F.col("n_peers") + 1 >= min_size)).select(
         "grp", "item", (F.col("n_peers") + 1).alias("size"), F.col("s").alias("s_sub"), F.coalesce(F.col("top") >= floor, F.lit(False)).alias("anchored"),
     )
+
+
+def similarity_profile(items: DataFrame, others: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """(grp, item, n_peers, least, mean, greatest): the similarities of each item to its peers in four mergeable numbers."""
+    tiles, _ = tiled(sides(items, others), block)
+    keys = f"grp {kind_of(tiles, 'grp')}, item {kind_of(tiles, 'item')}"
+
+    def run(tile: Tile) -> pa.Table | None:
+        parts = []
+        for rows, sim in tile.similarities():
+            there = ~np.isnan(sim)
+            n = there.sum(1)
+            parts.append(pa.table({
+                "grp": tile.column("grp", rows), "item": tile.column("item", rows), "n": n, "total": np.where(there, sim, 0).sum(1),
+                "least": pa.array(np.where(there, sim, np.inf).min(1, initial=np.inf), mask=n == 0), "greatest": pa.array(np.where(there, sim, -np.inf).max(1, initial=-np.inf), mask=n == 0),
+            }))
+        return pa.concat_tables(parts) if parts else None
+
+    found = each_tile(tiles, run, f"{keys}, n bigint, total double, least double, greatest double", others is not None)
+    total = F.sum("n")
+    return found.groupBy("grp", "item").agg(
+        total.cast("int").alias("n_peers"), F.min("least").alias("least"), F.when(total > 0, F.sum("total") / total).alias("mean"), F.max("greatest").alias("greatest"),
+    )
+
+
+def pair_quantiles(items: DataFrame, at: list[float], others: DataFrame | None = None, block: int = BLOCK) -> dict[float, float]:
+    """Interpolated quantiles over the similarities of all pairs, each pair of one group once; exact, without a row per pair.
+
+    One pass over the tiles counts the values per range; a second gathers the
+    few values of the ranges that hold a wanted rank, as (value, count).
+    """
+    tiles, _ = tiled(sides(items, others), block)
+    ranges = 1 << 14
+    once = others is None
+
+    def scale(sim: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore"):
+            return np.minimum(np.floor((np.clip(sim, -1.000001, 1.000001) + 1.000001) / 2.000002 * ranges), ranges - 1)
+
+    def halves(tile: Tile, rows: np.ndarray, sim: np.ndarray) -> np.ndarray:
+        """Without the second of the two directions of a pair."""
+        names = tile.table.column("item").to_numpy(zero_copy_only=False)
+        return np.where(names[rows][:, None] < names[tile.g][None, :], sim, np.nan) if once else sim
+
+    def count(tile: Tile) -> pa.Table | None:
+        total = np.zeros(ranges, np.int64)
+        for rows, sim in tile.similarities():
+            place = scale(halves(tile, rows, sim))
+            total += np.bincount(place[~np.isnan(place)].astype(np.int64), minlength=ranges)
+        held = np.nonzero(total)[0]
+        return pa.table({"place": held.astype(np.int32), "n": total[held]})
+
+    counts = each_tile(tiles, count, "place int, n bigint", not once).groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").collect()
+    n = sum(r["n"] for r in counts)
+    if not n:
+        return {q: float("nan") for q in at}
+    ranks = sorted({r for q in at for r in (int(np.floor(q * (n - 1))), int(np.ceil(q * (n - 1))))})
+    before, need = {}, set()
+    seen, left = 0, list(ranks)
+    for r in counts:
+        while left and left[0] < seen + r["n"]:
+            need.add(r["place"])
+            before.setdefault(r["place"], seen)
+            left.pop(0)
+        seen += r["n"]
+
+    def values(tile: Tile) -> pa.Table | None:
+        parts = []
+        for rows, sim in tile.similarities():
+            sim = halves(tile, rows, sim)
+            place = scale(sim)
+            v, times = np.unique(sim[np.isin(place, list(need))], return_counts=True)
+            parts.append(pa.table({"place": scale(v).astype(np.int32), "value": v, "n": times}))
+        return pa.concat_tables(parts) if parts else None
+
+    # A range holds about one in ten thousand of the pairs; a sum over ranks inside it happens in Spark.
+    from pyspark.sql import Window as W
+
+    held = each_tile(tiles, values, "place int, value double, n bigint", not once).groupBy("place", "value").agg(F.sum("n").alias("n"))
+    starts = F.create_map(*[F.lit(x) for p in before.items() for x in p])
+    upto = F.sum("n").over(W.partitionBy("place").orderBy("value")) + starts[F.col("place")]
+    wanted = F.array(*[F.lit(r) for r in ranks])
+    hit = held.withColumn("upto", upto).withColumn("r", F.explode(F.filter(wanted, lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))))
+    value = {r["r"]: r["value"] for r in hit.select("r", "value").collect()}
+    out = {}
+    for q in at:
+        lo, hi = int(np.floor(q * (n - 1))), int(np.ceil(q * (n - 1)))
+        out[q] = value[lo] + (value[hi] - value[lo]) * (q * (n - 1) - lo)
+    return out
