@@ -9,21 +9,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def group_records(decided: DataFrame, folders: DataFrame) -> DataFrame:
-    """One nested record for each group: size, flagged items with score and reason, ranking, median consensus and review.
+#: Items in one piece of a group's record.
+PIECE = 10_000
 
-    ``decided`` has grp, item, rank, suspicion, flagged, reason.  A record's
-    lists are as long as its group; where a group is too large for one record,
-    ``item_rows`` has the same content a row each.
+
+def group_records(decided: DataFrame, folders: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Nested records of each group: size, flagged items with score and reason, ranking, median consensus and review.
+
+    ``decided`` has grp, item, rank, suspicion, flagged, reason.  A group of
+    more than ``piece`` items comes in several records, by rank, numbered from 0
+    in ``piece``; ``total_images`` is of the whole group in each.
     """
     entry = F.struct(F.col("item").alias("file_name"), F.round("suspicion", 4).alias("suspicion_score"), F.col("reason").alias("reason"))
-    one = decided.groupBy("grp").agg(
-        F.count(F.lit(1)).cast("int").alias("total_images"),
+    one = decided.groupBy("grp", F.floor((F.col("rank") - 1) / piece).cast("int").alias("piece")).agg(
+        F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.when(F.col("flagged"), F.struct("rank", entry.alias("e"))))).alias("f"),
         F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("r"),
     )
-    return one.join(folders.select("grp", "median_s", "review"), "grp", "left").select(
-        F.col("grp").alias("outlet_id"), "total_images", F.transform("f", lambda x: x["e"]).alias("flagged_images"), F.transform("r", lambda x: x["item"]).alias("ranking"),
+    total = one.groupBy("grp").agg(F.sum("n").cast("int").alias("total_images"))
+    return one.join(total, "grp").join(folders.select("grp", "median_s", "review"), "grp", "left").select(
+        F.col("grp").alias("outlet_id"), "piece", "total_images", F.transform("f", lambda x: x["e"]).alias("flagged_images"), F.transform("r", lambda x: x["item"]).alias("ranking"),
         F.round("median_s", 3).alias("folder_median_consensus"), F.coalesce("review", F.lit(False)).alias("review_folder"),
     )
 
@@ -31,7 +36,7 @@ def group_records(decided: DataFrame, folders: DataFrame) -> DataFrame:
 def csv_records(records: DataFrame) -> DataFrame:
     """Flat text columns of the records: lists as JSON, review as 0 or 1, a missing median empty."""
     return records.select(
-        "outlet_id", "total_images", F.size("flagged_images").alias("n_flagged"), F.to_json("flagged_images").alias("flagged_images"), F.to_json("ranking").alias("ranking"),
+        "outlet_id", "piece", "total_images", F.size("flagged_images").alias("n_flagged"), F.to_json("flagged_images").alias("flagged_images"), F.to_json("ranking").alias("ranking"),
         F.coalesce(F.col("folder_median_consensus").cast("string"), F.lit("")).alias("folder_median_consensus"), F.col("review_folder").cast("int").alias("review_folder"),
     )
 
@@ -64,7 +69,7 @@ def write_json_document(records: DataFrame, path: str) -> None:
     """A single JSON array in one local file, written record by record in the order of the groups."""
     with open(path, "w", encoding="utf-8") as f:
         f.write("[")
-        for i, r in enumerate(records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"), "outlet_id").orderBy("outlet_id").toLocalIterator()):
+        for i, r in enumerate(records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"), "outlet_id", "piece").orderBy("outlet_id", "piece").toLocalIterator()):
             f.write((",\n" if i else "\n") + json.dumps(json.loads(r["j"]), ensure_ascii=False, indent=2))
         f.write("\n]\n")
 
