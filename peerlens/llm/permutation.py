@@ -1,7 +1,7 @@
 """Most similar vectors for every vector, by a permutation index.
 
 Every vector is represented by its nearest pivots in their order and posted in
-the inverted file of each of them.  Two vectors that share a list are compared
+the inverted files of the first of them.  Two vectors that share a list are compared
 by the footrule distance of their pivot orders (a pivot that one of them lacks
 counts as just beyond its last); the best of that ranking are reranked by exact
 cosine, and the neighbours found in a vector's lists merge in one bounded heap.
@@ -27,10 +27,10 @@ from pyspark.sql.internal import InternalFunction
 
 from peerlens.operators.scratch import Scratch
 
-#: Nearest pivots kept of each vector, in order; each is a posting.
-PREFIX = 6
+#: Nearest pivots kept of each vector, in order, and how many of them it is posted under.
+PREFIX, POSTS = 6, 4
 #: One pivot for so many vectors, between the two bounds; the upper one bounds what is broadcast (4 MB at 64 dimensions).
-PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 32, 64, 16384
+PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 64, 64, 16384
 #: Of each list, so many go from the footrule ranking to the exact rerank (and all that tie with the last).
 RERANK = 128
 #: Vectors in a list before it is split.
@@ -92,8 +92,8 @@ def _posted(pivots_b, prefix: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
             raw = np.stack(batch.column("vec").to_numpy(zero_copy_only=False)).astype(np.float32)
             order = nearest_pivots(_unit(raw), pivots, prefix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), batch.column("ids"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order), pa.list_(pa.int32()))],
-                names=["rep", "ids", "raw", "pivots"],
+                [batch.column("rep"), batch.column("ids"), batch.column("copies"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order), pa.list_(pa.int32()))],
+                names=["rep", "ids", "copies", "raw", "pivots"],
             )
 
     return run
@@ -135,7 +135,7 @@ def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Tabl
 
 def nearest_vectors(
     df: DataFrame, item: str, vec: str, dim: int, k: int, least: float = -1.0,
-    *, prefix: int = PREFIX, per_pivot: int = PER_PIVOT, rerank: int = RERANK, longest: int = LIST,
+    *, prefix: int = PREFIX, posts: int = POSTS, per_pivot: int = PER_PIVOT, rerank: int = RERANK, longest: int = LIST,
 ) -> DataFrame:
     """(item, other, cos): the ``k`` items of greatest cosine to each item, of those with cosine ``least`` or more.
 
@@ -152,6 +152,7 @@ def nearest_vectors(
     # One row per distinct vector, with its k + 1 smallest items: no item needs more of its copies than that.
     reps = rows.groupBy("vec").agg(F.array_sort(InternalFunction.collect_top_k(F.col("item"), k + 1, True)).alias("ids"), F.count(F.lit(1)).alias("copies"))
     reps = scratch.save(reps.select(F.col("ids")[0].alias("rep"), "ids", "copies", "vec"), "reps")
+    several = scratch.save(reps.where("copies > 1"), "several")
     n = reps.count()
     if n == 0:
         return spark.createDataFrame([], "item long, other long, cos double")
@@ -159,15 +160,17 @@ def nearest_vectors(
     drawn = reps.select("rep", "vec").orderBy(F.xxhash64("rep", F.lit(11)), "rep").limit(wanted).toArrow()
     pivots = _unit(np.stack(drawn.column("vec").combine_chunks().to_numpy(zero_copy_only=False))).astype(np.float32)
     prefix = min(prefix, len(pivots))
+    posts = min(posts, prefix)
     pivots_b = spark.sparkContext.broadcast(pivots)
-    posted = reps.select("rep", "ids", "vec").mapInArrow(_posted(pivots_b, prefix), "rep long, ids array<long>, raw binary, pivots array<int>")
+    posted = reps.select("rep", "ids", "vec", "copies").mapInArrow(_posted(pivots_b, prefix), "rep long, ids array<long>, copies long, raw binary, pivots array<int>")
     posted = scratch.save(posted, "posted")
+    scratch.drop(reps)
     # Lists by pivot; their number is bounded, so those that are long can be a literal map.
-    sizes = posted.select(F.explode("pivots").alias("pivot")).groupBy("pivot").count().where(F.col("count") > longest)
+    sizes = posted.select(F.explode(F.slice("pivots", 1, posts)).alias("pivot")).groupBy("pivot").count().where(F.col("count") > longest)
     long_lists = {r["pivot"]: -(-r["count"] // longest) for r in sizes.collect()}
     blocks = F.create_map(*[F.lit(x) for p in sorted(long_lists.items()) for x in p]) if long_lists else None
     parts = F.coalesce(blocks[F.col("pivot")], F.lit(1)) if long_lists else F.lit(1)
-    lists = posted.select("rep", "ids", "raw", "pivots", F.explode("pivots").alias("pivot")).withColumn("parts", parts)
+    lists = posted.select("rep", "ids", "raw", "pivots", F.explode(F.slice("pivots", 1, posts)).alias("pivot")).withColumn("parts", parts)
     lists = lists.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     # Cell (i, j) of a list holds the queries of block i and the targets of block j.
     cells = F.expr("flatten(transform(sequence(0, parts - 1), i -> array(struct(mine AS qi, i AS tj), struct(i AS qi, mine AS tj))))")
@@ -177,14 +180,14 @@ def nearest_vectors(
         (F.col("cell.qi") == F.col("mine")).alias("query"), (F.col("cell.tj") == F.col("mine")).alias("target"),
     )
     found = lists.groupBy("pivot", "qi", "tj").applyInArrow(_searched(k, least, rerank), "rep long, ids array<long>, cos double, other long, other_ids array<long>")
-    # A neighbour comes from at most ``prefix`` lists, so k * prefix entries hold k different ones.
+    # A neighbour comes from at most ``posts`` lists, so k * posts entries hold k different ones.
     entry = F.struct((-F.round("cos", 12)).alias("far"), F.col("other"), F.col("other_ids").alias("ids"))
-    merged = found.groupBy("rep", "ids").agg(InternalFunction.collect_top_k(entry, k * prefix, True).alias("heap"))
+    merged = found.groupBy("rep", "ids").agg(InternalFunction.collect_top_k(entry, k * posts, True).alias("heap"))
     outside = merged.select("rep", F.slice(F.array_sort(F.array_distinct("heap")), 1, k).alias("heap"))
     outside = outside.select("rep", F.expr("flatten(transform(heap, e -> transform(e.ids, i -> struct(e.far AS far, i AS other))))").alias("outside"))
     # Copies come before all others; a class of more than k needs nobody else.
-    members = rows.join(reps.where("copies > 1").select("vec", "rep", "ids", "copies"), "vec").select("item", "rep", "ids", "copies")
-    single = reps.where("copies = 1").select(F.col("rep").alias("item"), "rep", F.array().cast("array<long>").alias("ids"), F.lit(1).cast("long").alias("copies"))
+    members = rows.join(several, "vec").select("item", "rep", "ids", "copies")
+    single = posted.where("copies = 1").select(F.col("rep").alias("item"), "rep", F.array().cast("array<long>").alias("ids"), F.lit(1).cast("long").alias("copies"))
     every = single.unionByName(members).join(outside, "rep", "left")
     own = F.transform(F.filter("ids", lambda i: i != F.col("item")), lambda i: F.struct(F.lit(-1.0).alias("far"), i.alias("other")))
     best = F.slice(F.array_sort(F.concat(own, F.coalesce("outside", F.array().cast("array<struct<far:double,other:bigint>>")))), 1, k)
