@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.internal import InternalFunction
 
 from peerlens.config import Consensus, Gate
+from peerlens.operators.ranking import quantiles
 from peerlens.operators.ranks import sums_between, value_at_rank
+from peerlens.operators.scratch import Scratch
 from peerlens.operators.tiles import BLOCK, Tile, best_in_tile, each_tile, kind_of, rank_range, sides, statistic, tiled
 
 
@@ -85,16 +87,20 @@ def _over_tiles(tiles: DataFrame, n: DataFrame, how: Consensus, strangers: bool,
     return ends.select("grp", "item", F.col("n").cast("int").alias("n_peers"), (total / size).alias("s"), "top").unionByName(none)
 
 
-def modified_z(scores: DataFrame, mad_floor: float = 0.01) -> DataFrame:
+def modified_z(scores: DataFrame, mad_floor: float = 0.01, scratch: Scratch | None = None) -> DataFrame:
     """``scores`` (grp, item, s, …) with n_scored, median_s, mad and z = 0.6745 (s - median) / max(MAD, floor).
 
-    Medians are group aggregates that Spark merges from value counts, joined
-    back to the rows, so no group is sorted in one task.  Null s is no value and
-    has a null z.
+    The scores are stored first, as several plans read them.  Medians are taken
+    by rank, so a group of any size is spread over tasks.  Null s is no value
+    and has a null z.
     """
-    at = scores.groupBy("grp").agg(F.median("s").alias("median_s"), F.count(F.lit(1)).cast("int").alias("n_scored"))
-    with_median = scores.join(at, "grp", "left")
-    mad = with_median.groupBy("grp").agg(F.median(F.abs(F.col("s") - F.col("median_s"))).alias("mad"))
+    scratch = scratch or Scratch(scores.sparkSession, "z")
+    scores = scratch.save(scores, "consensus")
+    size = scores.groupBy("grp").agg(F.count(F.lit(1)).cast("int").alias("n_scored"))
+    middle = scratch.save(quantiles(scores, "grp", "s", [0.5], scratch).select("grp", F.col("q")[0].alias("median_s")), "medians")
+    with_median = scores.join(size, "grp", "left").join(middle, "grp", "left")
+    away = with_median.select("grp", F.abs(F.col("s") - F.col("median_s")).alias("away"))
+    mad = quantiles(away, "grp", "away", [0.5], scratch).select("grp", F.col("q")[0].alias("mad"))
     z = 0.6745 * (F.col("s") - F.col("median_s")) / F.greatest("mad", F.lit(mad_floor))
     return with_median.join(mad, "grp", "left").withColumn("z", z)
 

@@ -47,7 +47,7 @@ def prepare(items: DataFrame, vectors: DataFrame, cfg: Config, scratch: Scratch)
 
 
 def scores_of(reps: DataFrame, cfg: Config, scratch: Scratch) -> DataFrame:
-    return scratch.save(consensus.modified_z(consensus.consensus(reps, how=cfg.consensus), cfg.gate.mad_floor), "scores")
+    return scratch.save(consensus.modified_z(consensus.consensus(reps, how=cfg.consensus), cfg.gate.mad_floor, scratch), "scores")
 
 
 def samples(reps: DataFrame, scores: DataFrame, cfg: Config, seed: int | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from peerlens.operators.blocks import candidate_pairs, verified
 from peerlens.operators.scratch import Scratch
@@ -29,12 +30,11 @@ def cross_group_copies(items: DataFrame) -> DataFrame:
     The two smallest groups that hold a content are enough to name another one
     for each group, so no list of places is ever built.
     """
-    firsts = items.where("sha is not null").groupBy("sha", "grp").agg(F.min("item").alias("first_item"))
-    lowest = firsts.groupBy("sha").agg(F.min(F.struct("grp", "first_item")).alias("one"), F.count(F.lit(1)).alias("n_groups")).where("n_groups > 1")
-    second = firsts.join(lowest, "sha").where(F.col("grp") != F.col("one.grp")).groupBy("sha").agg(F.min(F.struct("grp", "first_item")).alias("two"))
-    known = lowest.join(second, "sha").select("sha", "one", "two")
-    other = F.when(F.col("grp") == F.col("one.grp"), F.col("two")).otherwise(F.col("one"))
-    return items.where("sha is not null").join(known, "sha").select("grp", "item", other["grp"].alias("other_grp"), other["first_item"].alias("other_item"))
+    held = items.where("sha is not null")
+    firsts = held.groupBy("sha", "grp").agg(F.min("item").alias("item"))
+    two = firsts.groupBy("sha").agg(F.array_sort(InternalFunction.collect_top_k(F.struct("grp", "item"), 2, True)).alias("two")).where(F.size("two") == 2)
+    other = F.when(F.col("grp") == F.col("two")[0]["grp"], F.col("two")[1]).otherwise(F.col("two")[0])
+    return held.select("sha", "grp", "item").join(two, "sha").select("grp", "item", other["grp"].alias("other_grp"), other["item"].alias("other_item"))
 
 
 def near_content(items: DataFrame, near: int, scratch: Scratch) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -30,6 +32,22 @@ def ranked(df: DataFrame, group: str, order: Sequence[Column], name: str = "rank
     return placed.join(runs, same).withColumn(name, (F.col("__at") - F.col("__first") + F.col("__before") + 1).cast("int")).drop("__part", "__at", "__p", "__g", "__first", "__before")
 
 
+def quantiles(df: DataFrame, group: str, value: str, at: Sequence[float], scratch: Scratch | None = None) -> DataFrame:
+    """(group, n, q): the interpolated quantiles of each group's values, exact; null values don't count.
+
+    Values get their ranks by ``ranked``, and only the rows at the wanted ranks
+    meet in one place, so no task holds a group.
+    """
+    placed = ranked(df.where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("__x")), group, [F.col("__x").asc()], "__rank", scratch)
+    n = placed.groupBy(group).agg(F.max("__rank").alias("n"))
+    ends = [(F.floor((F.col("n") - 1) * p), F.ceil((F.col("n") - 1) * p)) for p in at]
+    here = placed.join(n, group).withColumn("__r", F.col("__rank") - 1)
+    wanted = here.where(reduce(or_, [(F.col("__r") == lo) | (F.col("__r") == hi) for lo, hi in ends]))
+    picked = wanted.groupBy(group, "n").agg(*[F.max(F.when(F.col("__r") == e, F.col("__x"))).alias(f"__{i}_{j}") for i, pair in enumerate(ends) for j, e in enumerate(pair)])
+    parts = [F.col(f"__{i}_0") + (F.col(f"__{i}_1") - F.col(f"__{i}_0")) * ((F.col("n") - 1) * p - F.floor((F.col("n") - 1) * p)) for i, p in enumerate(at)]
+    return picked.select(group, "n", F.array(*parts).alias("q"))
+
+
 def suspicion_order() -> list[Column]:
     """Suspicion descending (missing last), z ascending (missing as 0), item."""
     return [F.col("suspicion").desc_nulls_last(), F.coalesce("z", F.lit(0.0)).asc(), F.col("item").asc()]

@@ -121,7 +121,7 @@ def content_hash_index(spark, sf_dir):
 
 @_query("WITH " + ",\n".join([q.IMAGES, q.CROSS]) + " SELECT grp, item, other.g AS other_grp, other.i AS other_item FROM crossed")
 def cross_group_duplicates(spark, sf_dir):
-    return duplicates.cross_group_copies(_one_row_each(_images(spark, sf_dir)))
+    return duplicates.cross_group_copies(Scratch(spark, "cross-copies").save(_one_row_each(_images(spark, sf_dir)), "items"))
 
 
 @_query(f"""WITH {q.IMAGES}, held AS (SELECT DISTINCT grp, bits, hex(bits::BLOB) AS h FROM pics WHERE bits IS NOT NULL)
@@ -241,11 +241,12 @@ def support_group(spark, sf_dir):
 
 @_query("WITH " + ",\n".join([q.EMB, q.CALIBRATED]) + " SELECT m.side, count(*) AS n, round(quantile_cont(x, 0.05), 5) AS q05, round(quantile_cont(x, 0.25), 5) AS q25, round(quantile_cont(x, 0.5), 5) AS q50, round(quantile_cont(x, 0.75), 5) AS q75, round(quantile_cont(x, 0.95), 5) AS q95, round(any_value(d.bw), 6) AS bandwidth FROM sample m JOIN side d ON d.side = m.side GROUP BY m.side")
 def lr_samples(spark, sf_dir):
-    items, scores, _ = _stored_scores(spark, sf_dir, "samples")
+    items, scores, scratch = _stored_scores(spark, sf_dir, "samples")
     drawn = decide.samples(items, scores, CFG)
-    at = F.percentile("x", F.array(*[F.lit(p) for p in (0.05, 0.25, 0.5, 0.75, 0.95)]))
-    rows = drawn.groupBy("side").agg(F.count("x").alias("n"), at.alias("v"), (F.stddev_samp("x") * F.pow(F.count("x"), F.lit(-0.2))).alias("bw"))
-    return rows.select("side", "n", *[F.round(F.col("v")[i], 5).alias(n) for i, n in enumerate(("q05", "q25", "q50", "q75", "q95"))], F.round("bw", 6).alias("bandwidth"))
+    drawn = scratch.save(drawn, "samples")
+    spread = drawn.groupBy("side").agg((F.stddev_samp("x") * F.pow(F.count("x"), F.lit(-0.2))).alias("bw"))
+    rows = ranking.quantiles(drawn, "side", "x", [0.05, 0.25, 0.5, 0.75, 0.95], scratch).join(spread, "side")
+    return rows.select("side", F.col("n").cast("bigint").alias("n"), *[F.round(F.col("q")[i], 5).alias(n) for i, n in enumerate(("q05", "q25", "q50", "q75", "q95"))], F.round("bw", 6).alias("bandwidth"))
 
 
 @_query("WITH " + ",\n".join([q.EMB, q.PAIR]) + "".join(
