@@ -83,7 +83,7 @@ def footrule_closeness(order: np.ndarray) -> np.ndarray:
     return close
 
 
-def _posted(pivots_b, prefix: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _posted(pivots_b, prefix: int, posts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = pivots_b.value
         for batch in batches:
@@ -92,8 +92,8 @@ def _posted(pivots_b, prefix: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
             raw = np.stack(batch.column("vec").to_numpy(zero_copy_only=False)).astype(np.float32)
             order = nearest_pivots(_unit(raw), pivots, prefix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), batch.column("ids"), batch.column("copies"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order), pa.list_(pa.int32()))],
-                names=["rep", "ids", "copies", "raw", "pivots"],
+                [batch.column("rep"), batch.column("ids"), batch.column("copies"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order[:, :posts]), pa.list_(pa.int32())), pa.array([r.tobytes() for r in order.astype(np.int16)], pa.binary())],
+                names=["rep", "ids", "copies", "raw", "pivots", "ordered"],
             )
 
     return run
@@ -105,7 +105,7 @@ def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Tabl
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("rep")
         n = table.num_rows
-        order = np.stack(table.column("pivots").to_numpy(zero_copy_only=False))
+        order = np.frombuffer(b"".join(table.column("ordered").to_pylist()), np.int16).reshape(n, -1)
         v = _unit(np.frombuffer(b"".join(table.column("raw").to_pylist()), np.float32).reshape(n, -1))
         query, target = table.column("query").to_numpy(), table.column("target").to_numpy()
         sim = v.astype(np.float32) @ v.astype(np.float32).T
@@ -126,7 +126,7 @@ def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Tabl
         keep = cos >= least
         q, t, cos = q[keep], t[keep], cos[keep]
         return pa.table({
-            "rep": table.column("rep").take(pa.array(q)), "ids": table.column("ids").take(pa.array(q)),
+            "rep": table.column("rep").take(pa.array(q)),
             "cos": pa.array(cos, pa.float64()), "other": table.column("rep").take(pa.array(t)), "other_ids": table.column("ids").take(pa.array(t)),
         })
 
@@ -162,33 +162,37 @@ def nearest_vectors(
     prefix = min(prefix, len(pivots))
     posts = min(posts, prefix)
     pivots_b = spark.sparkContext.broadcast(pivots)
-    posted = reps.select("rep", "ids", "vec", "copies").mapInArrow(_posted(pivots_b, prefix), "rep long, ids array<long>, copies long, raw binary, pivots array<int>")
+    posted = reps.select("rep", "ids", "vec", "copies").mapInArrow(_posted(pivots_b, prefix, posts), "rep long, ids array<long>, copies long, raw binary, pivots array<int>, ordered binary")
     posted = scratch.save(posted, "posted")
     scratch.drop(reps)
-    # Lists by pivot; their number is bounded, so those that are long can be a literal map.
-    sizes = posted.select(F.explode(F.slice("pivots", 1, posts)).alias("pivot")).groupBy("pivot").count().where(F.col("count") > longest)
-    long_lists = {r["pivot"]: -(-r["count"] // longest) for r in sizes.collect()}
-    blocks = F.create_map(*[F.lit(x) for p in sorted(long_lists.items()) for x in p]) if long_lists else None
-    parts = F.coalesce(blocks[F.col("pivot")], F.lit(1)) if long_lists else F.lit(1)
-    lists = posted.select("rep", "ids", "raw", "pivots", F.explode(F.slice("pivots", 1, posts)).alias("pivot")).withColumn("parts", parts)
+    # There are no more lists than pivots, so the long ones are a table of bounded size.
+    sizes = posted.select(F.explode("pivots").alias("pivot")).groupBy("pivot").count()
+    long_lists = sizes.where(F.col("count") > longest).select("pivot", F.ceil(F.col("count") / longest).cast("int").alias("parts"))
+    # A vector without copies needs no list of items beside its name.
+    shared = F.when(F.col("copies") > 1, F.col("ids"))
+    lists = posted.select("rep", shared.alias("ids"), "raw", "ordered", F.explode("pivots").alias("pivot"))
+    lists = lists.join(F.broadcast(long_lists), "pivot", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     lists = lists.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     # Cell (i, j) of a list holds the queries of block i and the targets of block j.
     cells = F.expr("flatten(transform(sequence(0, parts - 1), i -> array(struct(mine AS qi, i AS tj), struct(i AS qi, mine AS tj))))")
-    lists = lists.select("rep", "ids", "raw", "pivots", "pivot", "mine", F.explode(F.array_distinct(cells)).alias("cell"))
+    lists = lists.select("rep", "ids", "raw", "ordered", "pivot", "mine", F.explode(F.array_distinct(cells)).alias("cell"))
     lists = lists.select(
-        "rep", "ids", "raw", "pivots", "pivot", F.col("cell.qi").alias("qi"), F.col("cell.tj").alias("tj"),
+        "rep", "ids", "raw", "ordered", "pivot", F.col("cell.qi").alias("qi"), F.col("cell.tj").alias("tj"),
         (F.col("cell.qi") == F.col("mine")).alias("query"), (F.col("cell.tj") == F.col("mine")).alias("target"),
     )
-    found = lists.groupBy("pivot", "qi", "tj").applyInArrow(_searched(k, least, rerank), "rep long, ids array<long>, cos double, other long, other_ids array<long>")
+    found = lists.groupBy("pivot", "qi", "tj").applyInArrow(_searched(k, least, rerank), "rep long, cos double, other long, other_ids array<long>")
+    # Stored, so the postings' shuffle files are gone before the neighbours meet.
+    found = scratch.save(found, "found")
     # A neighbour comes from at most ``posts`` lists, so k * posts entries hold k different ones.
-    entry = F.struct((-F.round("cos", 12)).alias("far"), F.col("other"), F.col("other_ids").alias("ids"))
-    merged = found.groupBy("rep", "ids").agg(InternalFunction.collect_top_k(entry, k * posts, True).alias("heap"))
+    entry = F.struct((-F.round("cos", 12)).alias("far"), F.col("other"), F.coalesce("other_ids", F.array("other")).alias("ids"))
+    merged = found.groupBy("rep").agg(InternalFunction.collect_top_k(entry, k * posts, True).alias("heap"))
     outside = merged.select("rep", F.slice(F.array_sort(F.array_distinct("heap")), 1, k).alias("heap"))
     outside = outside.select("rep", F.expr("flatten(transform(heap, e -> transform(e.ids, i -> struct(e.far AS far, i AS other))))").alias("outside"))
     # Copies come before all others; a class of more than k needs nobody else.
-    members = rows.join(several, "vec").select("item", "rep", "ids", "copies")
-    single = posted.where("copies = 1").select(F.col("rep").alias("item"), "rep", F.array().cast("array<long>").alias("ids"), F.lit(1).cast("long").alias("copies"))
-    every = single.unionByName(members).join(outside, "rep", "left")
+    every = posted.where("copies = 1").select(F.col("rep").alias("item"), "rep", F.array().cast("array<long>").alias("ids"))
+    if not several.isEmpty():
+        every = every.unionByName(rows.join(several, "vec").select("item", "rep", "ids"))
+    every = every.join(outside, "rep", "left")
     own = F.transform(F.filter("ids", lambda i: i != F.col("item")), lambda i: F.struct(F.lit(-1.0).alias("far"), i.alias("other")))
     best = F.slice(F.array_sort(F.concat(own, F.coalesce("outside", F.array().cast("array<struct<far:double,other:bigint>>")))), 1, k)
     return every.select("item", F.explode(best).alias("e")).select("item", F.col("e.other").alias("other"), (-F.col("e.far")).alias("cos"))
