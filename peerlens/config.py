@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 
+# The defaults of all settings.
+
+
 @dataclass(frozen=True)
 class Dedup:
     near_dup_hamming: int = 8
@@ -35,7 +38,7 @@ class Gate:
 class Policy:
     duplicate_suspicion: float = 0.3
     unreadable_suspicion: float = 0.5
-    cross_duplicate_suspicion: float = 0.9
+    cross_outlet_duplicate_suspicion: float = 0.9
 
 
 @dataclass(frozen=True)
@@ -50,8 +53,18 @@ class Geometry:
     calib_pairs: int = 300
 
 
+@dataclass(frozen=True)
+class Tags:
+    template: str = "a photo of {}"
+    min_conf: float = 0.5
+    scene_prompts: dict = field(default_factory=dict)
+    brand_prompts: dict = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Words:
+    enabled: bool = True
+    langs: tuple[str, ...] = ("bn", "en")
     peers: int = 5
     min_conf: float = 0.3
 
@@ -67,16 +80,30 @@ class Harness:
     beta: float = 0.5
 
 
+@dataclass(frozen=True)
+class Output:
+    json: str = "results.json"
+    csv: str = "results.csv"
+    html: str = "report.html"
+
+
 @dataclass(frozen=True)
 class Config:
     seed: int = 0
+    cache_dir: str = "cache"
+    embedder: str = "dinov2"
+    models: dict = field(default_factory=dict)
+    image_size: tuple[int, ...] = (294, 224)
+    batch_size: int = 16
     dedup: Dedup = field(default_factory=Dedup)
     consensus: Consensus = field(default_factory=Consensus)
     gate: Gate = field(default_factory=Gate)
     policy: Policy = field(default_factory=Policy)
     geometry: Geometry = field(default_factory=Geometry)
+    tags: Tags = field(default_factory=Tags)
     ocr: Words = field(default_factory=Words)
     harness: Harness = field(default_factory=Harness)
+    output: Output = field(default_factory=Output)
 
     @staticmethod
     def load(path: str) -> Config:

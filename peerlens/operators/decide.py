@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peerlens.config import Config
 from peerlens.functions.vectors import unit
 from peerlens.operators import calibrate, consensus, duplicates
-from peerlens.operators.geometry import best_peer, evidence_value
+from peerlens.operators.geometry import best_peer, evidence_value, inliers
 from peerlens.operators.ranking import ranked, suspicion_order
 from peerlens.operators.scratch import Scratch
 
@@ -64,18 +64,18 @@ def samples(reps: DataFrame, scores: DataFrame, cfg: Config, seed: int | None =
     return at_home.select(F.lit("pos").alias("side"), F.col("s").alias("x")).unionByName(against.where("s is not null").select(F.lit("neg").alias("side"), F.col("s").alias("x")))
 
 
-def gate(reps: DataFrame, scores: DataFrame, ratio: calibrate.Ratio, cfg: Config, scratch: Scratch, inliers: DataFrame | None = None, geom: calibrate.Ratio | None = None) -> DataFrame:
+def gate(reps: DataFrame, scores: DataFrame, ratio: calibrate.Ratio, cfg: Config, scratch: Scratch, seen: DataFrame | None = None, geom: calibrate.Ratio | None = None) -> DataFrame:
     """(grp, item, s, z, …, p, candidate, flagged, kind, geom_*, sub_*) of every scored item.
 
-    ``inliers`` (grp, item, pos, peer, inliers) with its calibration ``geom`` is
+    ``seen`` (grp, item, pos, peer, inliers) with its calibration ``geom`` is
     the geometric evidence of candidates in groups of three or more.
     """
     scored = calibrate.with_posterior(scores, ratio, "s", "p")
     scored = scored.withColumn("candidate", consensus.candidate(F.col("n_scored"), F.col("z"), F.col("p"), cfg.gate))
     scored = scratch.save(scored, "candidates")
     closer = scored.where("candidate and n_scored >= 3").select("grp", "item", "s")
-    if inliers is not None and geom is not None:
-        seen = best_peer(inliers.join(closer.select("grp", "item"), ["grp", "item"], "left_semi")).withColumn("x", evidence_value(F.col("inliers")))
+    if seen is not None and geom is not None:
+        seen = best_peer(seen.join(closer.select("grp", "item"), ["grp", "item"], "left_semi")).withColumn("x", evidence_value(F.col("inliers")))
         seen = calibrate.with_log_lr(seen, geom, "x", "geom_log_lr").select("grp", "item", F.col("inliers").alias("geom_inliers"), F.col("peer").alias("geom_peer"), "geom_log_lr")
         scored = calibrate.with_posterior(scored.drop("p").join(seen, ["grp", "item"], "left"), ratio, "s", "p", "geom_log_lr")
     else:
@@ -109,7 +109,7 @@ def resolve(ready: Prepared, gated: DataFrame, cfg: Config, across: bool = True)
         rows = rows.withColumns({"other_grp": F.lit(None).cast("string"), "other_item": F.lit(None).cast("string")})
     unreadable, crossed, copy = ~F.col("readable"), F.col("other_grp").isNotNull(), ~F.col("is_rep")
     base = F.when(copy, F.greatest(F.lit(cfg.policy.duplicate_suspicion), "rep_p")).otherwise(F.col("p"))
-    suspicion = F.when(unreadable, F.lit(cfg.policy.unreadable_suspicion)).when(crossed, F.greatest(base, F.lit(cfg.policy.cross_duplicate_suspicion))).otherwise(base)
+    suspicion = F.when(unreadable, F.lit(cfg.policy.unreadable_suspicion)).when(crossed, F.greatest(base, F.lit(cfg.policy.cross_outlet_duplicate_suspicion))).otherwise(base)
     kind = F.when(unreadable, "unreadable").when(crossed, "cross_duplicate").when(copy, "duplicate").otherwise(F.coalesce("own_kind", F.lit("scored")))
     flagged = unreadable | crossed | copy | F.coalesce("own_flagged", F.lit(False))
     read_copy = copy & ~unreadable
@@ -121,12 +121,72 @@ def resolve(ready: Prepared, gated: DataFrame, cfg: Config, across: bool = True)
     )
 
 
-def audit(items: DataFrame, vectors: DataFrame, cfg: Config | None = None, scratch: Scratch | None = None) -> tuple[DataFrame, Prepared, calibrate.Ratio]:
-    """Every item's decision with its rank in its group, what it came from, and the calibration."""
+def counted_inliers(peers: DataFrame, reps: DataFrame, features: DataFrame, cfg: Config) -> DataFrame:
+    """(grp, item, pos, peer, inliers) of (grp, item, sha, pos, peer, peer_sha); a pair of contents is matched once."""
+    matched = inliers(peers.select(F.col("sha").alias("a"), F.col("peer_sha").alias("b")), features, cfg.geometry)
+    keyed = peers.withColumns({"a": F.least("sha", "peer_sha"), "b": F.greatest("sha", "peer_sha")})
+    return keyed.join(matched, ["a", "b"]).select("grp", "item", "pos", "peer", "inliers")
+
+
+def geometric_evidence(asking: DataFrame, reps: DataFrame, scores: DataFrame, features: DataFrame, floor: float, cfg: Config) -> DataFrame:
+    """Inliers of the asking items (grp, item) with their most similar peers of consensus ``floor`` or more and the most typical of their group."""
+    at = reps.join(asking.select("grp", "item"), ["grp", "item"], "left_semi")
+    supported = reps.join(scores.where(F.col("s") >= floor).select("grp", "item"), ["grp", "item"], "left_semi")
+    peers = consensus.peers_to_verify(at.select("grp", "item", "vec"), supported.select("grp", "item", "vec"), scores, cfg.geometry.peers, cfg.geometry.typical_peers)
+    named = peers.join(reps.select("grp", "item", "sha"), ["grp", "item"]).join(reps.select("grp", F.col("item").alias("peer"), F.col("sha").alias("peer_sha")), ["grp", "peer"])
+    return counted_inliers(named, reps, features, cfg)
+
+
+def geometry_samples(reps: DataFrame, scores: DataFrame, features: DataFrame, cfg: Config, scratch: Scratch) -> DataFrame:
+    """(side, x): the geometric value of drawn items against peers of their own group and of another group.
+
+    ``calib_pairs`` draws with replacement, by hash, among groups with more
+    items than peers wanted; items and groups are numbered in hash order, so a
+    draw is a join on a number.
+    """
+    how = cfg.geometry
+    groups = scores.where(F.col("n_scored") > how.peers).select("grp").distinct()
+    order = [calibrate.hashed_order(cfg.seed, "number", "grp").asc()]
+    numbered = ranked(groups.withColumn("one", F.lit("all")), "one", order, "no", scratch).drop("one")
+    total = numbered.count()
+    if total < 2:
+        raise ValueError("geometry needs two groups with more items than peers")
+    draw = reps.sparkSession.range(how.calib_pairs).select(F.col("id").cast("string").alias("draw"), (F.pmod(F.xxhash64("id", F.lit(cfg.seed)), F.lit(total)) + 1).cast("int").alias("no"))
+    pairs = numbered.join(calibrate.donors(groups, cfg.seed, "geometry"), "grp")
+    drawn = scratch.save(draw.join(pairs, "no").join(scores.groupBy("grp").agg(F.max("n_scored").alias("n")), "grp").select("draw", "grp", "donor", "n"), "draws")
+    members = ranked(reps.join(drawn.select("grp").distinct(), "grp", "left_semi"), "grp", [calibrate.hashed_order(cfg.seed, "number", "grp", "item").asc()], "no", scratch)
+    chosen = drawn.withColumn("no", (F.pmod(F.xxhash64("draw", F.lit(cfg.seed + 1)), F.col("n")) + 1).cast("int")).join(members, ["grp", "no"])
+    chosen = scratch.save(chosen.select("draw", "grp", "donor", "item", "sha", "vec"), "chosen")
+    sides = []
+    for side, other in (("pos", "grp"), ("neg", "donor")):
+        pool = chosen.select("draw", F.col(other).alias("from"), F.col("grp").alias("home"), F.col("item").alias("own")).join(reps.withColumnRenamed("grp", "from"), "from")
+        # Names carry their group, so a foreign item of the same name isn't taken for the item itself.
+        pool = pool.select(F.col("draw").alias("grp"), F.concat_ws("/", "from", "item").alias("item"), "vec", "sha", "from", F.col("item").alias("name"))
+        asking = chosen.select(F.col("draw").alias("grp"), F.concat_ws("/", "grp", "item").alias("item"), "vec", "sha")
+        typical = pool.join(scores.select(F.col("grp").alias("from"), F.col("item").alias("name"), "s"), ["from", "name"]).select("grp", "item", "s")
+        peers = consensus.peers_to_verify(asking.select("grp", "item", "vec"), pool.select("grp", "item", "vec"), typical, how.peers, how.typical_peers)
+        named = peers.join(asking.select("grp", "item", "sha"), ["grp", "item"]).join(pool.select("grp", F.col("item").alias("peer"), F.col("sha").alias("peer_sha")), ["grp", "peer"])
+        best = best_peer(counted_inliers(named, reps, features, cfg))
+        sides.append(best.select(F.lit(side).alias("side"), evidence_value(F.col("inliers")).alias("x"), "inliers"))
+    return sides[0].unionByName(sides[1])
+
+
+def audit(items: DataFrame, vectors: DataFrame, cfg: Config | None = None, scratch: Scratch | None = None, features: DataFrame | None = None) -> tuple[DataFrame, Prepared, calibrate.Ratio]:
+    """Every item's decision with its rank in its group, what it came from, and the calibration.
+
+    ``features`` (``geometry.FEATURES``, by sha) adds geometric evidence.
+    """
     cfg = cfg or Config()
     scratch = scratch or Scratch(items.sparkSession, "audit")
     ready = prepare(items, vectors, cfg, scratch)
     ratio = calibrate.fit(samples(ready.reps, ready.scores, cfg), cfg.gate.prior_outlier_rate)
-    gated = scratch.save(gate(ready.reps, ready.scores, ratio, cfg, scratch), "gated")
+    seen = geom = None
+    if features is not None and cfg.geometry.enabled:
+        drawn = scratch.save(geometry_samples(ready.reps, ready.scores, features, cfg, scratch), "geometry-samples")
+        geom = calibrate.fit(drawn, cfg.gate.prior_outlier_rate)
+        first = calibrate.with_posterior(ready.scores, ratio, "s", "p")
+        closer = first.where((F.col("n_scored") >= 3) & consensus.candidate(F.col("n_scored"), F.col("z"), F.col("p"), cfg.gate))
+        seen = scratch.save(geometric_evidence(closer, ready.reps, ready.scores, features, ratio.support_floor, cfg), "inliers")
+    gated = scratch.save(gate(ready.reps, ready.scores, ratio, cfg, scratch, seen, geom), "gated")
     decided = resolve(ready, gated, cfg)
     return ranked(decided, "grp", suspicion_order(), scratch=scratch), ready, ratio

@@ -10,6 +10,25 @@ from peerlens.functions.vectors import dot, softmax
 from peerlens.operators.consensus import typical_peers
 
 
+# The sentences of a reason.
+UNREADABLE = "File could not be decoded as an image."
+CROSS_DUPLICATE = "Identical file (content hash match) also submitted under %s/%s; the same photo cannot document two outlets."
+DUPLICATE = "Identical copy of %s (content hash match); duplicate submission adds no new evidence of a visit."
+DUPLICATE_FLAGGED = " The original copy is itself flagged."
+PAIR = "Only 2 usable images and they do not match each other (similarity %.2f < absolute floor %.2f); cannot determine which one is genuine, review both."
+STATISTIC = "Median similarity to peers %.2f vs folder median %.2f (modified z = %.1f; absolute floor %.2f)."
+SCENE_DIFFERS = "Scene reads as '%s' while %d/%d peers read as '%s'."
+SCENE_SAME = "Same scene type as peers ('%s') but not the same place."
+BRAND_DIFFERS = "Telecom branding reads '%s' vs '%s' on peers."
+TEXT_SHARED = "Signage text '%s' shares %d/%d tokens with outlet signage ('%s')."
+TEXT_MISSING = "No readable signage text, while peers show '%s'."
+TEXT_ALONE = "Signage text '%s' has no counterpart on peers (no readable peer signage)."
+GEOMETRY_NONE = "No geometric match to nearest peers (max %d SIFT inliers)."
+GEOMETRY_PARTIAL = "Partial geometric match to %s (%d inliers) was not enough to clear the floor."
+SUBGROUP_FOREIGN = "%d other images in this folder resemble it (median similarity %.2f) but none of them matches the rest of the folder either: a coherent group that is foreign as a whole."
+SUBGROUP_NOTED = "Note: %d other images in this folder resemble it (median similarity %.2f > support level %.2f), but not enough to clear the gate."
+
+
 def zero_shot(vectors: DataFrame, key: str, prompts: list[tuple[str, list[float]]], scale: float) -> DataFrame:
     """(key, label, p): the prompt with the greatest softmax of scaled similarity to each vector; equal ones by label.
 
@@ -59,50 +78,40 @@ def text_clause(own: Column, peers: Column, min_conf: float = 0.3) -> Column:
     """What the recognised text says, or null where neither side has any."""
     mine, theirs = tokens(own, min_conf), tokens(peers, min_conf)
     n, m = F.coalesce(F.size(mine), F.lit(0)), F.coalesce(F.size(theirs), F.lit(0))
-    return (
-        F.when((n > 0) & (m > 0), F.format_string("Signage text '%s' shares %d/%d tokens with outlet signage ('%s').", snippet(own), overlap(mine, theirs), n, snippet(peers)))
-        .when(m > 0, F.format_string("No readable signage text, while peers show '%s'.", snippet(peers)))
-        .when(n > 0, F.format_string("Signage text '%s' has no counterpart on peers (no readable peer signage).", snippet(own)))
-    )
+    shared = F.format_string(TEXT_SHARED, snippet(own), overlap(mine, theirs), n, snippet(peers))
+    return F.when((n > 0) & (m > 0), shared).when(m > 0, F.format_string(TEXT_MISSING, snippet(peers))).when(n > 0, F.format_string(TEXT_ALONE, snippet(own)))
 
 
 def scene_clause(own: Column, majority: Column, k: Column, n: Column) -> Column:
-    differs = F.format_string("Scene reads as '%s' while %d/%d peers read as '%s'.", own, k, n, majority)
-    return F.when(own != majority, differs).when(own == majority, F.format_string("Same scene type as peers ('%s') but not the same place.", majority))
+    return F.when(own != majority, F.format_string(SCENE_DIFFERS, own, k, n, majority)).when(own == majority, F.format_string(SCENE_SAME, majority))
 
 
 def brand_clause(own: Column, own_p: Column, majority: Column, min_conf: float = 0.5) -> Column:
-    return F.when((own != "none") & (majority != "none") & (own != majority) & (own_p >= min_conf), F.format_string("Telecom branding reads '%s' vs '%s' on peers.", own, majority))
+    named = (own != "none") & (majority != "none") & (own != majority)
+    return F.when(named & (own_p >= min_conf), F.format_string(BRAND_DIFFERS, own, majority))
 
 
 def geometry_clause() -> Column:
-    none = F.format_string("No geometric match to nearest peers (max %d SIFT inliers).", F.col("geom_inliers"))
-    some = F.format_string("Partial geometric match to %s (%d inliers) was not enough to clear the floor.", F.col("geom_peer"), F.col("geom_inliers"))
-    return F.when(F.col("geom_log_lr") > 0, none).when(F.col("geom_log_lr") <= 0, some)
+    none = F.format_string(GEOMETRY_NONE, F.col("geom_inliers"))
+    return F.when(F.col("geom_log_lr") > 0, none).when(F.col("geom_log_lr") <= 0, F.format_string(GEOMETRY_PARTIAL, F.col("geom_peer"), F.col("geom_inliers")))
 
 
 def subgroup_clause(support_floor: float) -> Column:
-    foreign = F.format_string(
-        "%d other images in this folder resemble it (median similarity %.2f) but none of them matches the rest of the folder either: a coherent group that is foreign as a whole.",
-        F.col("sub_size") - 1, F.col("sub_s"),
-    )
-    noted = F.format_string(
-        f"Note: %d other images in this folder resemble it (median similarity %.2f > support level {support_floor:.2f}), but not enough to clear the gate.", F.col("sub_size") - 1, F.col("sub_s"),
-    )
-    return F.when(~F.col("sub_anchored"), foreign).when(F.col("sub_anchored"), noted)
+    others = F.col("sub_size") - 1
+    noted = F.format_string(SUBGROUP_NOTED, others, F.col("sub_s"), F.lit(float(support_floor)))
+    return F.when(~F.col("sub_anchored"), F.format_string(SUBGROUP_FOREIGN, others, F.col("sub_s"))).when(F.col("sub_anchored"), noted)
 
 
 def reason(floor: float, support_floor: float, extra: list[Column] | None = None) -> Column:
     """The sentence for each decided row (``decide.resolve``); ``extra`` are clauses after the statistic, null where they don't apply."""
-    s, median, z = F.col("s"), F.col("median_s"), F.col("z")
-    statistic = F.format_string(f"Median similarity to peers %.2f vs folder median %.2f (modified z = %.1f; absolute floor {floor:.2f}).", s, median, z)
-    copy = F.concat(F.lit("Identical copy of "), "dup_of", F.lit(" (content hash match); duplicate submission adds no new evidence of a visit."), F.when(F.col("rep_flagged"), " The original copy is itself flagged.").otherwise(""))
-    crossed = F.concat(F.lit("Identical file (content hash match) also submitted under "), "other_grp", F.lit("/"), "other_item", F.lit("; the same photo cannot document two outlets."))
-    pair = F.format_string(f"Only 2 usable images and they do not match each other (similarity %.2f < absolute floor {floor:.2f}); cannot determine which one is genuine, review both.", s)
-    return (
-        F.when(F.col("kind") == "unreadable", "File could not be decoded as an image.")
-        .when(F.col("kind") == "cross_duplicate", crossed)
-        .when(F.col("kind") == "duplicate", copy)
-        .when(F.col("kind") == "pair", pair)
-        .otherwise(F.concat_ws(" ", statistic, *(extra or []), geometry_clause(), subgroup_clause(support_floor)))
-    )
+    least = F.lit(float(floor))
+    copy = F.concat(F.format_string(DUPLICATE, F.col("dup_of")), F.when(F.col("rep_flagged"), DUPLICATE_FLAGGED).otherwise(""))
+    by_evidence = F.concat_ws(" ", F.format_string(STATISTIC, F.col("s"), F.col("median_s"), F.col("z"), least), *(extra or []), geometry_clause(), subgroup_clause(support_floor))
+    known = {
+        "unreadable": F.lit(UNREADABLE), "cross_duplicate": F.format_string(CROSS_DUPLICATE, F.col("other_grp"), F.col("other_item")),
+        "duplicate": copy, "pair": F.format_string(PAIR, F.col("s"), least),
+    }
+    out = None
+    for kind, sentence in known.items():
+        out = F.when(F.col("kind") == kind, sentence) if out is None else out.when(F.col("kind") == kind, sentence)
+    return out.otherwise(by_evidence)

@@ -134,3 +134,29 @@ def test_records_in_pieces_and_files(spark, tmp_path):
     assert "why &amp; &lt;b&gt;" in open(f"{tmp_path}/r.html").read()
     summary = {r.kind: r.n_flagged for r in records.flag_summary(df).collect()}
     assert summary == {"scored": 1, "all": 1}
+
+
+def test_geometry_clears_and_convicts(spark):
+    """Items that are unlike their group: one shares its features with peers, the other has its own."""
+    from peerlens.operators import geometry
+
+    rng = np.random.default_rng(21)
+    items, vectors, features = [], [], []
+    for g in range(6):
+        centre = unit(rng.normal(size=32))
+        points, shared = rng.uniform(0, 300, (25, 2)), rng.normal(size=(25, 8))
+        for k in range(8):
+            v = around(rng, centre, 1, 0.04)[0] if k < 6 else unit(rng.normal(size=32))
+            items.append((f"g{g}", f"i{k}", f"{g}-{k}", True, None))
+            vectors.append((f"{g}-{k}", [float(x) for x in v]))
+            d = rng.normal(size=(25, 8)) if k == 7 else shared + 0.01 * rng.normal(size=(25, 8))
+            features.append((f"{g}-{k}", [{"x": float(x), "y": float(y)} for x, y in points + k], [[float(x) for x in r] for r in d]))
+    frames = spark.createDataFrame(items, ITEMS), spark.createDataFrame(vectors, "sha string, vec array<double>"), spark.createDataFrame(features, geometry.FEATURES)
+    got, _, ratio = decide.audit(frames[0], frames[1], CFG, features=frames[2])
+    rows = {(r.grp, r["item"]): r for r in got.collect()}
+    same, other = [rows[f"g{g}", "i6"] for g in range(6)], [rows[f"g{g}", "i7"] for g in range(6)]
+    assert all(r.candidate for r in same + other)
+    assert all(r.geom_inliers >= 20 and r.geom_log_lr < 0 for r in same) and all(r.geom_inliers < 10 and r.geom_log_lr > 0 for r in other)
+    assert np.mean([r.suspicion for r in other]) > np.mean([r.suspicion for r in same])
+    text = got.withColumn("reason", explain.reason(ratio.floor(0.3), ratio.support_floor)).where("item = 'i7'").first().reason
+    assert "No geometric match to nearest peers" in text
