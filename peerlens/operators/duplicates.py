@@ -74,21 +74,24 @@ def copy_edges(items: DataFrame, near: int, scratch: Scratch) -> DataFrame:
 def smallest_reachable(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(grp, item, root): the smallest item that each item with an edge reaches; edges are (grp, a, b), never across groups.
 
-    Labels fall to the smallest label of a neighbour and then to that label's
-    own label, so a chain of n items takes about log n rounds.
+    In a round an item and the item it is labelled with both take the smallest
+    label next to the item, and then that label's own label, so whole trees hook
+    on at once and a chain of n items takes about log n rounds.
     """
     both = edges.select("grp", F.col("a").alias("item"), F.col("b").alias("other")).unionByName(edges.select("grp", F.col("b").alias("item"), F.col("a").alias("other")))
     both = scratch.save(both.where("item <> other").distinct(), "both-ways")
     labels = scratch.save(both.groupBy("grp", "item").agg(F.min("other").alias("o")).select("grp", "item", F.least("item", "o").alias("root")), "labels")
     while True:
         near = labels.select("grp", F.col("item").alias("other"), F.col("root").alias("seen"))
-        least = both.join(near, ["grp", "other"]).groupBy("grp", "item").agg(F.min("seen").alias("seen"))
-        hooked = labels.join(least, ["grp", "item"]).select("grp", "item", "root", F.least("root", "seen").alias("low"))
-        above = labels.select("grp", F.col("item").alias("low"), F.col("root").alias("up"))
-        moved = hooked.join(above, ["grp", "low"], "left").select("grp", "item", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved"))
+        least = both.join(near, ["grp", "other"]).groupBy("grp", "item").agg(F.min("seen").alias("seen")).join(labels, ["grp", "item"])
+        falls = least.select("grp", F.explode(F.array(F.struct("item", F.least("seen", "root").alias("low")), F.struct(F.col("root").alias("item"), F.least("seen", "root").alias("low")))).alias("e"))
+        hooked = scratch.save(falls.select("grp", "e.item", "e.low").groupBy("grp", "item").agg(F.min("low").alias("low")), "hooked")
+        above = hooked.select("grp", F.col("item").alias("low"), F.col("low").alias("up"))
+        jumped = hooked.join(above, ["grp", "low"]).select("grp", "item", F.least("low", "up").alias("new"))
+        moved = jumped.join(labels, ["grp", "item"]).select("grp", "item", F.col("new").alias("root"), (F.col("new") < F.col("root")).alias("moved"))
         new = scratch.save(moved, "labels")
         done = new.where("moved").isEmpty()
-        scratch.drop(labels)
+        scratch.drop(labels, hooked)
         labels = new
         if done:
             return labels.select("grp", "item", "root")
