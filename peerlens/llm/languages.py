@@ -15,6 +15,7 @@ language written in two scripts is two classes, joined in the result.
 
 from __future__ import annotations
 
+import heapq
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -161,24 +162,39 @@ def stretches(scores: np.ndarray, change: float = CHANGE, shortest: int = SHORTE
 
 
 def joined(parts: list[tuple[int, int, int]], scores: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
-    """The stretches after each short one, the shortest first, went to the neighbour that explains it better."""
-    parts = list(parts)
-    while len(parts) > 1:
-        at = min(range(len(parts)), key=lambda i: (parts[i][1] - parts[i][0], i))
-        begin, end, _ = parts[at]
-        if end - begin >= shortest:
+    """The stretches after each short one, the shortest first, went to the neighbour that explains it better.
+
+    Neighbours differ in class.  A heap holds the stretches by length, so a
+    text of very many stretches takes little more than one pass.
+    """
+    begin, end, kind = (list(x) for x in zip(*parts))
+    left, right = list(range(-1, len(parts) - 1)), [*range(1, len(parts)), -1]
+    alive = [True] * len(parts)
+    heap = [(end[i] - begin[i], begin[i], i) for i in range(len(parts))]
+    heapq.heapify(heap)
+    while heap and heap[0][0] < shortest:
+        length, at, i = heapq.heappop(heap)
+        if not alive[i] or (end[i] - begin[i], begin[i]) != (length, at):
+            continue
+        near = [k for k in (left[i], right[i]) if k >= 0]
+        if not near:
             break
-        near = [i for i in (at - 1, at + 1) if 0 <= i < len(parts)]
-        to = max(near, key=lambda i: (scores[begin:end, parts[i][2]].sum(), -i))
-        parts[at] = (begin, end, parts[to][2])
-        merged = [parts[0]]
-        for p in parts[1:]:
-            if p[2] == merged[-1][2]:
-                merged[-1] = (merged[-1][0], p[1], p[2])
-            else:
-                merged.append(p)
-        parts = merged
-    return parts
+        total = scores[at : at + length].sum(0)
+        kind[i] = kind[max(near, key=lambda k: total[kind[k]])]
+        for k in near:
+            if kind[k] == kind[i]:
+                alive[k] = False
+                begin[i], end[i] = min(begin[i], begin[k]), max(end[i], end[k])
+                if k == left[i]:
+                    left[i] = left[k]
+                    if left[k] >= 0:
+                        right[left[k]] = i
+                else:
+                    right[i] = right[k]
+                    if right[k] >= 0:
+                        left[right[k]] = i
+        heapq.heappush(heap, (end[i] - begin[i], begin[i], i))
+    return sorted((begin[i], end[i], kind[i]) for i in range(len(parts)) if alive[i])
 
 
 def training_sample(df: DataFrame, item: str, text: str, label: str, per_class: int = SAMPLE) -> DataFrame:

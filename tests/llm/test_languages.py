@@ -96,3 +96,36 @@ def test_nothing_to_fit_on(spark):
     empty = spark.createDataFrame([], DOCS)
     assert mended_labels(empty, "doc_id", "text", "lang").count() == 0
     assert isinstance(fit([], [], ("en", "es")), Model)
+
+
+def test_joining_equals_the_plain_way():
+    """The same as looking for the shortest stretch again and again."""
+    from peerlens.llm.languages import joined
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        parts, at, kind = [], 0, -1
+        for _ in range(rng.integers(1, 12)):
+            kind = rng.choice([k for k in range(3) if k != kind])
+            parts.append((at, at + int(rng.integers(1, 14)), int(kind)))
+            at = parts[-1][1]
+        scores = rng.normal(size=(at, 3))
+        want = list(parts)
+        while len(want) > 1:
+            i = min(range(len(want)), key=lambda k: (want[k][1] - want[k][0], want[k][0]))
+            if want[i][1] - want[i][0] >= 8:
+                break
+            near = [k for k in (i - 1, i + 1) if 0 <= k < len(want)]
+            to = max(near, key=lambda k: scores[want[i][0] : want[i][1]].sum(0)[want[k][2]])
+            want[i] = (want[i][0], want[i][1], want[to][2])
+            merged = [want[0]]
+            for p in want[1:]:
+                merged[-1:] = [(merged[-1][0], p[1], p[2])] if p[2] == merged[-1][2] else [merged[-1], p]
+            want = merged
+        assert joined(parts, scores, 8) == want
+
+
+def test_very_long_document(spark, model):
+    text = "\n".join(". ".join(SENTENCES[c] * 40) for c in ("en", "hi", "de") * 20)
+    rows = languages(spark.createDataFrame([(1, text, None, "")], DOCS), "doc_id", "text", model).orderBy("seg_no").collect()
+    assert [r.lang for r in rows[1:]] == ["en", "hi", "de"] * 20
