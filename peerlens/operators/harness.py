@@ -11,7 +11,7 @@ from peerlens.config import Config
 from peerlens.operators import decide
 from peerlens.operators.calibrate import Ratio, donors, hashed_order
 from peerlens.operators.consensus import top_peers
-from peerlens.operators.ranking import running_totals
+from peerlens.operators.ranking import ranked, running_totals
 from peerlens.operators.scratch import Scratch
 
 #: The thresholds of the table, steps of .02 up to .18 and of .05 from .20 to .95.
@@ -23,7 +23,8 @@ def targets(groups: DataFrame, fraction: float, seed: int) -> DataFrame:
     """(grp) of the groups that receive transplants: the first of the hash order, a rounded fraction and at least one."""
     n = groups.count()
     wanted = max(1, round(fraction * n))
-    return groups.select("grp", hashed_order(seed, "target", "grp").alias("at")).orderBy("at", "grp").limit(wanted).select("grp")
+    placed = ranked(groups.select("grp", F.lit("all").alias("one")), "one", [hashed_order(seed, "target", "grp").asc(), F.col("grp").asc()])
+    return placed.where(F.col("rank") <= wanted).select("grp")
 
 
 def nearest_groups(reps: DataFrame, asking: DataFrame) -> DataFrame:
@@ -64,6 +65,8 @@ def pr_table(rows: DataFrame, keys: Sequence[str], thresholds: Sequence[float] =
     is over all positives.  Empty denominators give 0.  One aggregation serves
     all thresholds: counts per number of thresholds reached, then sums.
     """
+    if not keys:
+        return pr_table(rows.withColumn("__all", F.lit(0)), ["__all"], thresholds, beta).drop("__all")
     at = F.array(*[F.lit(float(t)) for t in sorted(thresholds)])
     reached = F.when(F.col("candidate"), F.size(F.filter(at, lambda t: F.coalesce(F.col("score") >= t, F.lit(False))))).otherwise(0)
     label = F.col("label").cast("int")
@@ -72,7 +75,7 @@ def pr_table(rows: DataFrame, keys: Sequence[str], thresholds: Sequence[float] =
     spread = counts.select(*keys, "reached", "n", "pos", F.posexplode(at).alias("i", "threshold"))
     above = F.col("reached") > F.col("i")
     table = spread.groupBy(*keys, "threshold").agg(F.sum(F.when(above, F.col("n")).otherwise(0)).alias("n_flagged"), F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"))
-    table = table.join(total, list(keys)) if keys else table.crossJoin(F.broadcast(total))  # one row
+    table = table.join(total, list(keys))
     precision = F.when(F.col("n_flagged") > 0, F.col("tp") / F.col("n_flagged")).otherwise(0.0)
     recall = F.when(F.col("n_pos") > 0, F.col("tp") / F.col("n_pos")).otherwise(0.0)
     table = table.withColumns({"precision": precision, "recall": recall})

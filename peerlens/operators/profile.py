@@ -31,7 +31,11 @@ def copy_counts(items: DataFrame, copies: DataFrame) -> DataFrame:
     """(exact, near, cross, unreadable): extra copies of a content inside groups, extra contents inside sets of copies, contents under several groups, unreadable items."""
     sets = copies.where("size > 1").select("grp", "item", "root").join(items.select("grp", "item", "sha"), ["grp", "item"])
     per_set = sets.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.coalesce("sha", "item")).alias("d"))
-    inside = per_set.agg(F.coalesce(F.sum(F.col("n") - F.col("d")), F.lit(0)).alias("exact"), F.coalesce(F.sum(F.col("d") - 1), F.lit(0)).alias("near"))
-    spread = items.where("sha is not null").groupBy("sha").agg(F.count_distinct("grp").alias("g")).agg(F.count_if(F.col("g") > 1).alias("cross"))
-    unreadable = items.agg(F.count_if(~F.coalesce("readable", F.lit(False))).alias("unreadable"))
-    return inside.crossJoin(F.broadcast(spread)).crossJoin(F.broadcast(unreadable))  # one row each
+    zero = F.lit(0).cast("bigint")
+    parts = [
+        per_set.select((F.col("n") - F.col("d")).alias("exact"), (F.col("d") - 1).alias("near"), zero.alias("cross"), zero.alias("unreadable")),
+        items.where("sha is not null").groupBy("sha").agg(F.count_distinct("grp").alias("g")).where("g > 1").select(zero.alias("exact"), zero.alias("near"), F.lit(1).cast("bigint").alias("cross"), zero.alias("unreadable")),
+        items.where(~F.coalesce("readable", F.lit(False))).select(zero.alias("exact"), zero.alias("near"), zero.alias("cross"), F.lit(1).cast("bigint").alias("unreadable")),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("exact", "near", "cross", "unreadable")])

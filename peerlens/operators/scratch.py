@@ -45,12 +45,18 @@ def shuffle_files_end_with_the_plan(spark: SparkSession):
 
 
 class Scratch:
-    """A private folder of intermediate tables."""
+    """A private folder of intermediate tables, deleted when the application ends.
+
+    Results may still read them lazily, so they stay until then unless dropped.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        where, files = self._at(self.root)
+        files.mkdirs(where)
+        files.deleteOnExit(where)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -74,7 +80,10 @@ class Scratch:
     def close(self) -> None:
         self._delete(self.root)
 
+    def _at(self, path: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        where, files = self._at(path)
+        files.delete(where, True)

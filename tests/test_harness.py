@@ -52,3 +52,13 @@ def test_operating_point(spark):
     best = spark.createDataFrame([(2.5, "easy", 0.3, 0.5, 0.6, 0.4), (3.0, "easy", 0.4, 0.5, 0.6, 0.3), (3.5, "hard", 0.1, 0.9, 0.9, 0.9)], "z double, pool string, threshold double, f_beta double, precision double, recall double")
     got = h.operating_point(best, "easy").first()
     assert got.z == 2.5 and got.threshold == 0.3
+
+
+def test_without_keys_and_targets(spark):
+    rows = spark.createDataFrame([("k", 0.9, True, True), ("j", 0.1, False, True)], ROWS)
+    got = {r.threshold: r for r in h.pr_table(rows, [], [0.5]).collect()}
+    assert got[0.5].precision == 1 and "__all" not in got[0.5].asDict()
+    groups = spark.createDataFrame([(f"g{i}",) for i in range(9)], "grp string")
+    a, b = ({r.grp for r in h.targets(groups, 0.5, s).collect()} for s in (0, 1))
+    assert len(a) == len(b) == 4 and a != b and a == {r.grp for r in h.targets(groups.repartition(3), 0.5, 0).collect()}
+    assert h.targets(groups, 0.0, 0).count() == 1
