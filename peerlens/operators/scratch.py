@@ -8,9 +8,10 @@ the local machine is used.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,17 @@ def shuffle_files_end_with_the_plan(spark: SparkSession):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+_AT_EXIT: list[tuple] = []
+
+
+@atexit.register
+def _clear() -> None:
+    """Delete the folders of this application; its gateway is still open then, as it was opened before."""
+    with suppress(Exception):
+        for where, files in _AT_EXIT:
+            files.delete(where, True)
+
+
 class Scratch:
     """A private folder of intermediate tables, deleted when the application ends.
 
@@ -54,9 +66,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
-        where, files = self._at(self.root)
-        files.mkdirs(where)
-        files.deleteOnExit(where)
+        _AT_EXIT.append(self._at(self.root))
 
     def path(self, name: str) -> str:
         self._n += 1
