@@ -152,7 +152,9 @@ def repeated_photos(images: DataFrame, max_distance: int = MAX_DISTANCE) -> Data
     """(earlier_id, image_id) of every record that repeats an accepted record of an earlier delivery.
 
     The first delivery is accepted whole and becomes the history; the later
-    ones are admitted against it.
+    ones are admitted against it.  A record delivered again counts once, in its
+    first delivery; a record without a delivery number comes last; null sha256
+    and unusable dhash values match nothing; an empty table gives no rows.
     """
     spark = images.sparkSession
     scratch = Scratch(spark, "increments")

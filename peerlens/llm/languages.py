@@ -231,7 +231,8 @@ def languages(df: DataFrame, item: str, text: str, model: Model, *, change: floa
     stretches of documents in more than one language.  ``confidence`` is the
     posterior of the language over the stretch, its evidence damped to the root
     of the number of words, as the words of a text aren't independent.  Null,
-    empty and wordless texts give no rows.
+    empty and wordless texts give no rows.  Rows are judged one by one, also
+    where ids repeat or are null; equal votes go by the likelihood.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((model.logs, model.codes))
@@ -241,7 +242,6 @@ def languages(df: DataFrame, item: str, text: str, model: Model, *, change: floa
         model = Model(*shared.value)
         codes = np.array(model.codes)
         names = sorted(set(model.codes))
-        fold = np.array([[c == n for n in names] for c in model.codes])
         for batch in batches:
             like = batch.schema.field(0).type
             out: list[tuple] = []
@@ -267,8 +267,7 @@ def languages(df: DataFrame, item: str, text: str, model: Model, *, change: floa
                 votes = {n: 0 for n in names}
                 for begin, end, code in parts:
                     votes[code] += end - begin
-                total = (scores @ fold).max() if len(parts) == 1 else 0
-                main = max(names, key=lambda n: (votes[n], total and float(scores[:, codes == n].sum())))
+                main = max(names, key=lambda n: (votes[n], float(scores[:, codes == n].sum(0).max())))
                 out.append((one, 0, main, len(t), sure(scores, main)))
                 if len({p[2] for p in parts}) > 1:
                     out += [(one, i, code, end - begin, sure(scores[begin:end], code)) for i, (begin, end, code) in enumerate(parts, 1)]
@@ -285,7 +284,9 @@ def languages(df: DataFrame, item: str, text: str, model: Model, *, change: floa
 def mended_labels(df: DataFrame, item: str, text: str, label: str, *, per_class: int = SAMPLE) -> DataFrame:
     """``languages`` of the documents whose label is missing or wrong (seg_no 0), and of all mixed ones (seg_no from 1).
 
-    A label in another spelling of the right language isn't wrong.
+    A label in another spelling of the right language isn't wrong.  An empty
+    table, or one without usable labels, is judged by a model that knows
+    nothing.  Other columns are ignored.
     """
     model = fit_on(df, item, text, label, per_class)
     # The label travels with the id through the scan, so nothing is joined or shuffled.

@@ -85,7 +85,8 @@ def near_photos(images: DataFrame, k: int = 8) -> DataFrame:
     Records are compared as classes of one (dhash, sha256), so copies are never
     compared with each other; only classes that belong to a pair are expanded.
     A null sha256 equals nothing, so such records are classes of their own.
-    Unusable dhash values are near to nothing.
+    Unusable dhash values are near to nothing.  A record delivered again counts
+    once; an empty table gives no pairs; other columns are ignored.
     """
     scratch = Scratch(images.sparkSession, "near")
     records = photo_records(images).where(F.col("bits").isNotNull())
