@@ -1,7 +1,7 @@
 """Most similar vectors for every vector, by a permutation index.
 
 Every vector is represented by its nearest pivots in their order and posted in
-the inverted files of the first of them.  Two vectors that share a list are compared
+the inverted file of each of them.  Two vectors that share a list are compared
 by the footrule distance of their pivot orders (a pivot that one of them lacks
 counts as just beyond its last); the best of that ranking are reranked by exact
 cosine, and the neighbours found in a vector's lists merge in one bounded heap.
@@ -27,8 +27,8 @@ from pyspark.sql.internal import InternalFunction
 
 from peerlens.operators.scratch import Scratch
 
-#: Nearest pivots kept of each vector, in order, and how many of them it is posted under.
-PREFIX, POSTS = 6, 4
+#: Nearest pivots kept of each vector, in order, and how many of them it is posted under: all, as neighbours are lost with each that is left out.
+PREFIX, POSTS = 6, 6
 #: One pivot for so many vectors, between the two bounds; the upper one bounds what is broadcast (4 MB at 64 dimensions).
 PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 64, 64, 16384
 #: Of each list, so many go from the footrule ranking to the exact rerank (and all that tie with the last).
