@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from peerlens.config import Config, set_values
 from peerlens.operators import consensus, decide, duplicates, harness, profile, records
-from peerlens.operators.explain import reason
+from peerlens.operators.explain import reason, tags_of, with_tags, with_text
 from peerlens.operators.scratch import Scratch
 
 
@@ -36,15 +36,38 @@ def _inputs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
     return items, vectors
 
 
+def _by_content(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table with its content hash as ``sha``, lower case and trimmed; the column is ``sha``, ``sha256`` or ``key``."""
+    rows = spark.read.parquet(path)
+    name = next(c for c in ("sha", "sha256", "key") if c in rows.columns)
+    return rows.withColumnRenamed(name, "sha").withColumn("sha", F.lower(F.trim("sha")))
+
+
+def _features(spark: SparkSession, args) -> DataFrame | None:
+    if not args.features:
+        return None
+    # One row counts of each content, so no pair is matched twice.
+    one = _by_content(spark, args.features).where("sha is not null").groupBy("sha").agg(F.max(F.struct("points", "descriptors")).alias("f"))
+    return one.select(F.col("sha").alias("key"), "f.points", "f.descriptors")
+
+
 def run(args) -> None:
     spark, cfg = _session(), Config.load(args.config) if args.config else Config()
     if args.no_geometry:
         cfg = dataclasses.replace(cfg, geometry=dataclasses.replace(cfg.geometry, enabled=False))
     items, vectors = _inputs(spark, args)
     scratch = Scratch(spark, "run")
-    decided, ready, ratio = decide.audit(items, vectors, cfg, scratch)
+    decided, ready, ratio = decide.audit(items, vectors, cfg, scratch, _features(spark, args))
     floor = ratio.floor(cfg.gate.p_thresh)
-    decided = scratch.save(decided.withColumn("reason", F.when(F.col("flagged"), reason(floor, ratio.support_floor))), "decided")
+    extra = []
+    if args.tag_vectors:
+        tags = tags_of(_by_content(spark, args.tag_vectors), spark.read.parquet(args.prompts), args.tag_scale)
+        decided, said = with_tags(decided, ready.reps, scratch.save(tags, "tags"), cfg.tags.min_conf)
+        extra += said
+    if args.texts and cfg.ocr.enabled:
+        decided, said = with_text(decided, ready.reps, ready.scores, _by_content(spark, args.texts), cfg.ocr.peers, cfg.ocr.min_conf)
+        extra += said
+    decided = scratch.save(decided.withColumn("reason", F.when(F.col("flagged"), reason(floor, ratio.support_floor, extra))), "decided")
     folders = consensus.folders(ready.scores, cfg.gate)
     result = records.group_records(decided, folders)
     records.write_json(result, f"{args.out}/results_json")
@@ -58,10 +81,13 @@ def run(args) -> None:
 
 def evaluate(args) -> None:
     spark, cfg = _session(), Config.load(args.config) if args.config else Config()
+    if args.no_geometry:
+        cfg = dataclasses.replace(cfg, geometry=dataclasses.replace(cfg.geometry, enabled=False))
     items, vectors = _inputs(spark, args)
+    features = _features(spark, args)
     scratch = Scratch(spark, "evaluate")
-    _, ready, ratio = decide.audit(items, vectors, cfg, scratch)
-    rows = harness.pooled(harness.run(items, vectors, ready, ratio, cfg, scratch))
+    _, ready, ratio = decide.audit(items, vectors, cfg, scratch, features)
+    rows = harness.pooled(harness.run(items, vectors, ready, ratio, cfg, scratch, features))
     table = harness.pr_table(rows, ["z", "pool"], beta=cfg.harness.beta)
     point = harness.operating_point(harness.best_threshold(table, ["z", "pool"]), cfg.harness.select_mode).first()
     chosen = table.where((F.col("z") == point["z"]) & (F.col("pool") == cfg.harness.select_mode)).orderBy("threshold").collect()
@@ -91,11 +117,19 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--config")
         p.add_argument("--no-geometry", action="store_true")
         p.add_argument("--log-level", default="WARNING")
+        if name != "profile":
+            p.add_argument("--features", help="Parquet table of local features by content hash: key, points, descriptors")
         if name == "run":
+            p.add_argument("--tag-vectors", help="Parquet table of vectors by content hash that are held against the prompts")
+            p.add_argument("--prompts", help="Parquet table of the prompts' vectors: kind (scene or brand), label, vec")
+            p.add_argument("--tag-scale", type=float, default=100.0, help="factor of the similarities before the softmax")
+            p.add_argument("--texts", help="Parquet table of recognised text by content hash: texts array<struct<text, conf>>")
             p.add_argument("--report", help="write an HTML page of the most suspicious items there")
         if name == "evaluate":
             p.add_argument("--write-threshold", action="store_true")
     args = parser.parse_args(argv)
+    if bool(getattr(args, "tag_vectors", None)) != bool(getattr(args, "prompts", None)):
+        parser.error("--tag-vectors and --prompts go together")
     logging.basicConfig(level=args.log_level)
     args.f(args)
 

@@ -28,6 +28,7 @@ class Prepared:
     copies: DataFrame  # grp, item, root, rep, is_rep, size
     reps: DataFrame  # grp, item, sha, vec
     scores: DataFrame  # grp, item, n_peers, s, median_s, n_scored, mad, z
+    geom: calibrate.Ratio | None = None  # the calibration of geometric evidence, where the audit had features
 
 
 def prepare(items: DataFrame, vectors: DataFrame, cfg: Config, scratch: Scratch) -> Prepared:
@@ -137,6 +138,13 @@ def geometric_evidence(asking: DataFrame, reps: DataFrame, scores: DataFrame, fe
     return counted_inliers(named, reps, features, cfg)
 
 
+def seen_by_candidates(reps: DataFrame, scores: DataFrame, ratio: calibrate.Ratio, features: DataFrame, cfg: Config) -> DataFrame:
+    """The geometric evidence (grp, item, pos, peer, inliers) of all candidates in groups of three or more."""
+    first = calibrate.with_posterior(scores, ratio, "s", "p")
+    closer = first.where((F.col("n_scored") >= 3) & consensus.candidate(F.col("n_scored"), F.col("z"), F.col("p"), cfg.gate))
+    return geometric_evidence(closer, reps, scores, features, ratio.support_floor, cfg)
+
+
 def geometry_samples(reps: DataFrame, scores: DataFrame, features: DataFrame, cfg: Config, scratch: Scratch) -> DataFrame:
     """(side, x): the geometric value of drawn items against peers of their own group and of another group.
 
@@ -183,10 +191,8 @@ def audit(items: DataFrame, vectors: DataFrame, cfg: Config | None = None, scrat
     seen = geom = None
     if features is not None and cfg.geometry.enabled:
         drawn = scratch.save(geometry_samples(ready.reps, ready.scores, features, cfg, scratch), "geometry-samples")
-        geom = calibrate.fit(drawn, cfg.gate.prior_outlier_rate)
-        first = calibrate.with_posterior(ready.scores, ratio, "s", "p")
-        closer = first.where((F.col("n_scored") >= 3) & consensus.candidate(F.col("n_scored"), F.col("z"), F.col("p"), cfg.gate))
-        seen = scratch.save(geometric_evidence(closer, ready.reps, ready.scores, features, ratio.support_floor, cfg), "inliers")
+        ready.geom = geom = calibrate.fit(drawn, cfg.gate.prior_outlier_rate)
+        seen = scratch.save(seen_by_candidates(ready.reps, ready.scores, ratio, features, cfg), "inliers")
     gated = scratch.save(gate(ready.reps, ready.scores, ratio, cfg, scratch, seen, geom), "gated")
     decided = resolve(ready, gated, cfg)
     return ranked(decided, "grp", suspicion_order(), scratch=scratch), ready, ratio

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.functions.text import overlap, snippet, tokens
-from peerlens.functions.vectors import dot, softmax
+from peerlens.functions.vectors import dot, softmax, unit
 from peerlens.operators.consensus import typical_peers
 
 
@@ -61,10 +61,10 @@ def majority_of_others(labels: DataFrame) -> DataFrame:
     return rows.withColumn("m", first).select("grp", "item", F.col("m.label").alias("label"), (-F.col("m.c")).alias("k"), (F.col("total") - 1).alias("n"))
 
 
-def peer_text(scores: DataFrame, items: DataFrame, peers: int) -> DataFrame:
-    """(grp, item, texts): the recognised text of the most typical other items of the group; ``items`` is (grp, item, texts)."""
+def peer_text(scores: DataFrame, items: DataFrame, peers: int, asking: DataFrame | None = None) -> DataFrame:
+    """(grp, item, texts): the recognised text of the most typical other items of the group; ``items`` is (grp, item, texts), of which all or only the ``asking`` are told."""
     top = typical_peers(scores, peers)
-    asking = items.select("grp", "item").join(top, "grp").where("item <> peer")
+    asking = (items if asking is None else asking).select("grp", "item").join(top, "grp").where("item <> peer")
     from pyspark.sql.internal import InternalFunction
 
     first = asking.groupBy("grp", "item").agg(InternalFunction.collect_top_k(F.struct("rank", "peer"), peers, True).alias("h"))
@@ -77,6 +77,7 @@ def peer_text(scores: DataFrame, items: DataFrame, peers: int) -> DataFrame:
 def text_clause(own: Column, peers: Column, min_conf: float = 0.3) -> Column:
     """What the recognised text says, or null where neither side has any."""
     mine, theirs = tokens(own, min_conf), tokens(peers, min_conf)
+    own, peers = (F.filter(x, lambda e: e["conf"] >= min_conf) for x in (own, peers))
     n, m = F.coalesce(F.size(mine), F.lit(0)), F.coalesce(F.size(theirs), F.lit(0))
     shared = F.format_string(TEXT_SHARED, snippet(own), overlap(mine, theirs), n, snippet(peers))
     return F.when((n > 0) & (m > 0), shared).when(m > 0, F.format_string(TEXT_MISSING, snippet(peers))).when(n > 0, F.format_string(TEXT_ALONE, snippet(own)))
@@ -91,6 +92,36 @@ def brand_clause(own: Column, own_p: Column, majority: Column, min_conf: float =
     return F.when(named & (own_p >= min_conf), F.format_string(BRAND_DIFFERS, own, majority))
 
 
+def tags_of(vectors: DataFrame, prompts: DataFrame, scale: float) -> DataFrame:
+    """(sha, scene, brand, brand_p) of vectors (sha, vec) by prompts (kind, label, vec) of the kinds ``scene`` and ``brand``; the prompts are few and collected."""
+    given = prompts.select("kind", "label", "vec").collect()
+    vectors = vectors.where("sha is not null").groupBy("sha").agg(F.min(unit(F.col("vec"))).alias("vec")).where("vec is not null")
+    named = {kind: [(r["label"], r["vec"]) for r in given if r["kind"] == kind] for kind in ("scene", "brand")}
+    if missing := [kind for kind, found in named.items() if not found]:
+        raise ValueError(f"no prompts of kind {' and '.join(missing)}")
+    scene, brand = (zero_shot(vectors, "sha", named[kind], scale) for kind in ("scene", "brand"))
+    return scene.select("sha", F.col("label").alias("scene")).join(brand.select("sha", F.col("label").alias("brand"), F.col("p").alias("brand_p")), "sha")
+
+
+def with_tags(decided: DataFrame, reps: DataFrame, tags: DataFrame, min_conf: float = 0.5) -> tuple[DataFrame, list[Column]]:
+    """Decided rows with their tags and those of the other scored items of the group, and the clauses on them; ``tags`` is (sha, scene, brand, brand_p)."""
+    labels = reps.select("grp", "item", "sha").join(tags, "sha")
+    scene = majority_of_others(labels.select("grp", "item", F.col("scene").alias("label"))).select("grp", "item", F.col("label").alias("peer_scene"), F.col("k").alias("scene_k"), F.col("n").alias("scene_n"))
+    brand = majority_of_others(labels.select("grp", "item", F.col("brand").alias("label"))).select("grp", "item", F.col("label").alias("peer_brand"))
+    out = decided.join(tags, "sha", "left").join(scene, ["grp", "item"], "left").join(brand, ["grp", "item"], "left")
+    return out, [scene_clause(F.col("scene"), F.col("peer_scene"), F.col("scene_k"), F.col("scene_n")), brand_clause(F.col("brand"), F.col("brand_p"), F.col("peer_brand"), min_conf)]
+
+
+def with_text(decided: DataFrame, reps: DataFrame, scores: DataFrame, texts: DataFrame, peers: int, min_conf: float = 0.3) -> tuple[DataFrame, list[Column]]:
+    """Decided rows with their recognised text and that of typical peers, and the clause on them; ``texts`` is (sha, texts)."""
+    texts = texts.where("sha is not null").groupBy("sha").agg(F.max("texts").alias("texts"))
+    held = reps.select("grp", "item", "sha").join(texts, "sha").select("grp", "item", "texts")
+    asking = decided.where("flagged and kind = 'scored'").select("grp", "item")
+    around = peer_text(scores, held, peers, asking).withColumnRenamed("texts", "peer_texts")
+    out = decided.join(texts, "sha", "left").join(around, ["grp", "item"], "left")
+    return out, [text_clause(F.col("texts"), F.col("peer_texts"), min_conf)]
+
+
 def geometry_clause() -> Column:
     none = F.format_string(GEOMETRY_NONE, F.col("geom_inliers"))
     return F.when(F.col("geom_log_lr") > 0, none).when(F.col("geom_log_lr") <= 0, F.format_string(GEOMETRY_PARTIAL, F.col("geom_peer"), F.col("geom_inliers")))

@@ -97,13 +97,16 @@ def best_threshold(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return table.groupBy(*keys).agg(best.alias("b")).select(*keys, (-F.col("b.low")).alias("threshold"), F.col("b.f_beta").alias("f_beta"), F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"), F.col("b.n_flagged").alias("n_flagged"))
 
 
-def run(items: DataFrame, vectors: DataFrame, ready: decide.Prepared, ratio: Ratio, cfg: Config, scratch: Scratch) -> DataFrame:
+def run(items: DataFrame, vectors: DataFrame, ready: decide.Prepared, ratio: Ratio, cfg: Config, scratch: Scratch, features: DataFrame | None = None) -> DataFrame:
     """(z, seed, mode, grp, item, score, label, candidate) of every scored item of every run.
 
     Seeds and modes are parts of the group name, so all runs are one plan;
     copies, vectors and consensus don't depend on z and are computed once, and
-    the calibration isn't fitted again.
+    the calibration isn't fitted again.  With the ``features`` of the audit
+    that gave ``ready``, candidates are verified by geometry as they are there.
     """
+    import dataclasses
+
     how = cfg.harness
     groups = ready.scores.where("n_scored >= 2").select("grp").distinct()
     worlds = None
@@ -115,12 +118,14 @@ def run(items: DataFrame, vectors: DataFrame, ready: decide.Prepared, ratio: Rat
             world = ready.items.unionByName(added).withColumn("grp", F.concat_ws("/", F.lit(str(seed)), F.lit(mode), "grp"))
             worlds = world if worlds is None else worlds.unionByName(world)
     again = decide.prepare(worlds, vectors, cfg, scratch)
+    at = lambda z: dataclasses.replace(cfg, gate=dataclasses.replace(cfg.gate, z_thresh=z))
+    seen = None
+    if features is not None and ready.geom is not None:
+        # The least z has the candidates of all others, so nothing is matched twice.
+        seen = scratch.save(decide.seen_by_candidates(again.reps, again.scores, ratio, features, at(min(how.z_grid))), "inliers")
     out = None
     for z in how.z_grid:
-        import dataclasses
-
-        at_z = dataclasses.replace(cfg, gate=dataclasses.replace(cfg.gate, z_thresh=z))
-        gated = decide.gate(again.reps, again.scores, ratio, at_z, scratch)
+        gated = decide.gate(again.reps, again.scores, ratio, at(z), scratch, seen, ready.geom)
         part = F.split("grp", "/", 3)
         rows = gated.select(
             F.lit(z).alias("z"), part[0].cast("int").alias("seed"), part[1].alias("mode"), part[2].alias("grp"), "item",
