@@ -320,6 +320,20 @@ def reasons(spark, sf_dir):
     return rows.where("flagged and kind in ('unreadable', 'cross_duplicate', 'duplicate')").select("grp", "item", "reason")
 
 
+_NUMBERS = """CASE WHEN kind = 'pair' THEN 'Only 2 usable images and they do not match each other (similarity ' || format('{:.2f}', s) || ' < absolute floor ' || format('{:.2f}', floor) || '); cannot determine which one is genuine, review both.'
+  ELSE 'Median similarity to peers ' || format('{:.2f}', s) || ' vs folder median ' || format('{:.2f}', median_s) || ' (modified z = ' || format('{:.1f}', z) || '; absolute floor ' || format('{:.2f}', floor) || ').'
+    || CASE WHEN sub_anchored THEN ' Note: ' || (sub_size - 1) || ' other images in this folder resemble it (median similarity ' || format('{:.2f}', sub_s) || ' > support level ' || format('{:.2f}', support_floor) || '), but not enough to clear the gate.'
+      WHEN NOT sub_anchored THEN ' ' || (sub_size - 1) || ' other images in this folder resemble it (median similarity ' || format('{:.2f}', sub_s) || ') but none of them matches the rest of the folder either: a coherent group that is foreign as a whole.' ELSE '' END END"""
+
+
+@_query(q.AUDIT + f" SELECT grp, item, kind, coalesce({_REASON}, {_NUMBERS}) AS reason FROM ranked, floors WHERE flagged")
+def flagged_reasons(spark, sf_dir):
+    """The reason of every flagged item, of the kinds scored and pair too."""
+    decided, _, ratio, _ = _audited(spark, sf_dir, "flagged-reasons")
+    rows = decided.withColumn("reason", explain.reason(ratio.floor(CFG.gate.p_thresh), ratio.support_floor))
+    return rows.where("flagged").select("grp", "item", "kind", "reason")
+
+
 @_query(q.AUDIT + """ SELECT r.grp AS outlet_id, 0 AS piece, CAST(count(*) AS INTEGER) AS total_images, CAST(count(*) FILTER (WHERE flagged) AS INTEGER) AS n_flagged,
   coalesce(string_agg(item, '|' ORDER BY rank) FILTER (WHERE flagged), '') AS flagged_images, string_agg(item, '|' ORDER BY rank) AS ranking,
   round(max(m.median_s), 3) AS folder_median_consensus, coalesce(max(m.n_scored) >= 3 AND max(m.median_s) < 0.45, false) AS review_folder
