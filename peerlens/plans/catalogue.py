@@ -9,7 +9,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.internal import InternalFunction
 
 from peerlens.config import Config, Consensus
 from peerlens.functions import text
@@ -415,17 +414,32 @@ def best_geometric_peer(spark, sf_dir):
 
 @_query()
 def ransac_matches(spark, sf_dir):
-    """Inlier counts between the vectors of neighbouring labels read as descriptors on a grid; the numeric kernel at work."""
-    # Feature extractors keep the best n_features of an image, so a row of features is bounded.
-    best = InternalFunction.collect_top_k(F.struct("vec_id", "embedding"), CFG.geometry.n_features, True)
-    rows = _table(spark, sf_dir, "embeddings").groupBy("label").agg(F.array_sort(best).alias("e"))
-    features = rows.select(
-        F.col("label").cast("string").alias("key"),
-        F.transform("e", lambda x, i: F.struct((i % 16).cast("float").alias("x"), F.floor(i / 16).cast("float").alias("y"))).alias("points"), F.transform("e", lambda x: x["embedding"]).alias("descriptors"),
+    """Inlier counts between the vectors of neighbouring labels read as descriptors on a grid; the numeric kernel at work.
+
+    A label's neighbour is the next label there is, the first after the last.
+    A label comes in pieces of at most n_features rows by vec_id, each with a
+    grid of its own, and every piece of a label is matched with every piece of
+    the label and of its neighbour.  The first piece has the label as its key,
+    the others also have their number.
+    """
+    scratch = Scratch(spark, "ransac")
+    rows = _table(spark, sf_dir, "embeddings").where("label is not null").select("label", "vec_id", "embedding")
+    placed = ranking.ranked(rows, "label", [F.col("vec_id").asc(), F.col("embedding").asc()], "no", scratch)
+    n = CFG.geometry.n_features
+    placed = placed.select("label", F.floor((F.col("no") - 1) / n).cast("int").alias("piece"), F.struct(F.pmod(F.col("no") - 1, F.lit(n)).alias("i"), "embedding").alias("e"))
+    pieces = placed.groupBy("label", "piece").agg(F.array_sort(F.collect_list("e")).alias("e"))
+    label = F.col("label").cast("string")
+    features = pieces.select(
+        "label", F.when(F.col("piece") == 0, label).otherwise(F.concat_ws("/", label, "piece")).alias("key"),
+        F.transform("e", lambda x: F.struct((x["i"] % 16).cast("float").alias("x"), F.floor(x["i"] / 16).cast("float").alias("y"))).alias("points"), F.transform("e", lambda x: x["embedding"]).alias("descriptors"),
     )
-    keys = features.select(F.col("key").alias("a"))
-    pairs = keys.select("a", F.explode(F.array(F.col("a"), ((F.col("a").cast("int") + 1) % 10).cast("string"))).alias("b"))
-    return geometry.inliers(pairs, features)
+    features = scratch.save(features, "features")
+    numbered = scratch.save(ranking.ranked(features.select("label", F.lit("all").alias("one")).distinct(), "one", [F.col("label").asc()], "no", scratch).select("label", "no"), "labels")
+    following = numbered.select((F.pmod(F.col("no"), F.lit(max(1, numbered.count()))) + 1).alias("no"), F.col("label").alias("from")).join(numbered, "no").select("from", "label")
+    other = numbered.select(F.col("label").alias("from"), "label").unionByName(following)
+    keys = features.select("label", "key")
+    pairs = keys.select(F.col("label").alias("from"), F.col("key").alias("a")).join(other, "from").join(keys.select("label", F.col("key").alias("b")), "label")
+    return geometry.inliers(pairs.select("a", "b"), features.select("key", "points", "descriptors"))
 
 
 # Evaluation
