@@ -46,7 +46,7 @@ SAMPLE, SAMPLE_CHARS = 1000, 20_000
 #: Fits after the first.
 REFITS = 3
 #: Most that one word can say against a language, and the cost of a change of language, in nats.
-WORD_CAP, CHANGE = 6.0, 12.0
+WORD_CAP, CHANGE = 6.0, 9.0
 #: Words of the shortest stretch that counts.
 SHORTEST = 8
 

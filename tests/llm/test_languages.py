@@ -92,6 +92,22 @@ def test_stretches_rules():
     assert stretches(np.empty((0, 2))) == [] and stretches(np.array([b] * 3)) == [(0, 3, 1)]
 
 
+def test_stretches_of_eight_words_in_close_languages(spark, model):
+    a, b = [0.0, -2.5], [-2.5, 0.0]
+    assert stretches(np.array([a] * 20 + [b] * 8 + [a] * 20)) == [(0, 20, 0), (20, 28, 1), (28, 48, 0)]
+    close = ("es", "pt", "fr")
+    kept = []
+    for outer in close:
+        for inner in (c for c in close if c != outer):
+            for sentence in SENTENCES[inner]:
+                for n in (8, 10, 12):
+                    if len(words := words_of(sentence)) >= n:
+                        text = words_of(". ".join(SENTENCES[outer]))
+                        scores = model.word_scores(text + words[:n] + text)
+                        kept.append(inner in {model.codes[c] for _, _, c in stretches(scores)})
+    assert len(kept) > 30 and sum(kept) / len(kept) >= 0.9, (len(kept), sum(kept))
+
+
 def test_nothing_to_fit_on(spark):
     empty = spark.createDataFrame([], DOCS)
     assert mended_labels(empty, "doc_id", "text", "lang").count() == 0
