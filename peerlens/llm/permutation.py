@@ -118,13 +118,20 @@ def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Tabl
             dead |= close < floor[:, None]
         sim[dead | (sim < least - 1e-4)] = -2
         sim[~query] = -2
-        few = min(n, k + 4)
-        best = np.argpartition(-sim, few - 1, axis=1)[:, :few]
-        q, c = np.nonzero(np.take_along_axis(sim, best, 1) > -2)
-        t = best[q, c]
-        cos = np.einsum("ij,ij->i", v[q], v[t])
+        # All whose float32 cosine can't be told from the k-th best go on to double precision.
+        few = min(n, k)
+        kth = np.partition(sim, n - few, axis=1)[:, n - few]
+        q, t = np.nonzero((sim > -2) & (sim >= kth[:, None] - 1e-6))
+        # By parts, as where very many are alike all pairs of the list may be here.
+        cos = np.concatenate([np.einsum("ij,ij->i", v[q[i : i + 2**17]], v[t[i : i + 2**17]]) for i in range(0, max(1, len(q)), 2**17)])
         keep = cos >= least
         q, t, cos = q[keep], t[keep], cos[keep]
+        # The k best of them, equal ones by the smaller item as in the merge; rows are sorted by it.
+        order = np.lexsort((t, -np.round(cos, 12), q))
+        q, t, cos = q[order], t[order], cos[order]
+        first = np.searchsorted(q, q)
+        keep = np.arange(len(q)) - first < k
+        q, t, cos = q[keep], t[keep], cos[keep]
         return pa.table({
             "rep": table.column("rep").take(pa.array(q)),
             "cos": pa.array(cos, pa.float64()), "other": table.column("rep").take(pa.array(t)), "other_ids": table.column("ids").take(pa.array(t)),

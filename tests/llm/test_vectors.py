@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from peerlens.llm.permutation import footrule_closeness, nearest_pivots, nearest_vectors, similar_photos, usable
+from peerlens.llm.permutation import _searched, footrule_closeness, nearest_pivots, nearest_vectors, similar_photos, usable
 from pyspark.sql import functions as F
 
 ROWS = "vec_id long, sha256 string, model string, vec array<float>"
@@ -79,6 +80,21 @@ def test_dirty_rows(spark):
     assert similar_photos(df.limit(0), dim=2).count() == 0
 
 
+def test_many_equal_cosines_go_by_the_smaller_item():
+    # One direction at sixty lengths: float32 cosines differ by chance, and by less than that in truth.
+    rng = np.random.default_rng(7)
+    v = (rng.uniform(0.1, 9, (60, 1)) * rng.normal(size=64)).astype(np.float32)
+    n = len(v)
+    table = pa.table({
+        "rep": pa.array(range(n), pa.int64()), "ids": pa.array([None] * n, pa.list_(pa.int64())), "raw": [r.tobytes() for r in v], "ordered": [np.zeros(1, np.int16).tobytes()] * n,
+        "query": [True] * n, "target": [True] * n,
+    })
+    got = {}
+    for r in _searched(5, 0.9, 128)(table).to_pylist():
+        got.setdefault(r["rep"], set()).add((-round(r["cos"], 12), r["other"]))
+    assert all([j for _, j in sorted(got[i])][:5] == [j for j in range(6) if j != i][:5] for i in range(n))
+
+
 def test_footrule():
     order = np.array([[1, 2, 3], [2, 1, 3], [4, 5, 6], [3, 2, 1]])
     m = order.shape[1]
