@@ -25,7 +25,7 @@ from peerlens.operators.scratch import Scratch
 HOT = 256
 #: Levels of further blocks; at 256 bits and k = 8 the last level's keys fix 88 bits at least.
 LEVELS = 3
-#: Hex digits of a string.
+#: Hex digits of a string, where nothing else is said.
 DIGITS = 64
 
 
@@ -46,9 +46,9 @@ def _posted(rows: DataFrame, digits: int, k: int) -> DataFrame:
     return rows.select("id", "fresh", "rest", F.posexplode(F.array(*posts)).alias("n", "key"))
 
 
-def postings(strings: DataFrame, k: int, scope: str | None = None) -> DataFrame:
-    """(key, id, fresh) of the first block tables; ``strings`` has id, hex, fresh and, if given, the column ``scope``."""
-    return _posted(_unposted(strings, scope), DIGITS, k).select("key", "id", "fresh")
+def postings(strings: DataFrame, k: int, scope: str | None = None, digits: int = DIGITS) -> DataFrame:
+    """(key, id, fresh) of the first block tables; ``strings`` has id, hex of ``digits`` digits, fresh and, if given, the column ``scope``."""
+    return _posted(_unposted(strings, scope), digits, k).select("key", "id", "fresh")
 
 
 def _deeper(rows: DataFrame, digits: int, k: int, hot_keys: DataFrame) -> DataFrame:
@@ -63,15 +63,15 @@ def _deeper(rows: DataFrame, digits: int, k: int, hot_keys: DataFrame) -> DataFr
     return _posted(rows, digits, k).join(hot_keys.select("key"), "key", "left_semi").select("id", "fresh", rest.alias("rest"), "key")
 
 
-def candidate_pairs(strings: DataFrame, k: int, scratch: Scratch, *, posts: DataFrame | None = None, scope: str | None = None, hot: int = HOT) -> DataFrame:
+def candidate_pairs(strings: DataFrame, k: int, scratch: Scratch, *, posts: DataFrame | None = None, scope: str | None = None, hot: int = HOT, digits: int = DIGITS) -> DataFrame:
     """Distinct (a, b), a < b, of ids that share a block and of which one is fresh.
 
     ``posts`` is a stored table of the first postings, if there is one;
     ``strings`` are then read only for keys that are hot.
     """
     found: list[DataFrame] = []
-    rows, digits = _unposted(strings, scope), DIGITS
-    posts = posts if posts is not None else postings(strings, k, scope)
+    rows = _unposted(strings, scope)
+    posts = posts if posts is not None else postings(strings, k, scope, digits)
     for level in range(LEVELS + 1):
         counted = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("any_fresh"))
         live = scratch.save(counted.where("n > 1 and any_fresh").select("key", "n"), "live-keys")
