@@ -44,9 +44,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from peerlens.llm.paritysketch import near_photos
+    from peerlens.llm.paritysketch import near_photos, photo_pairs
 
-    return near_photos(_table(spark, sf_dir, "images"))
+    return photo_pairs(near_photos(_table(spark, sf_dir, "images")))
 
 
 @_query

@@ -4,12 +4,18 @@ import numpy as np
 import pytest
 
 from peerlens.llm.increments import History, repeated_photos
-from peerlens.llm.paritysketch import near_photos, sketches, token_bits
+from peerlens.llm import paritysketch
+from peerlens.llm.paritysketch import near_sets, photo_pairs, sketch_bits, sketches, token_bits
 from peerlens.llm.photos import photo_records
 from peerlens.operators.blocks import candidate_pairs, verified
 from peerlens.operators.scratch import Scratch
 from pyspark.sql import functions as F
 
+
+def near_photos(df):
+    return photo_pairs(paritysketch.near_photos(df))
+
+
 IMAGES = "image_id long, batch_no int, sha256 string, dhash binary, hex string"
 
 
@@ -90,14 +96,41 @@ def test_hot_blocks_lose_nothing(spark, hot):
 
 
 def test_sketches_bound_the_difference():
+    """Tokens fold onto fewer bits, and the distance of the sketches is never above the difference of the sets, and of its parity."""
     rng = np.random.default_rng(0)
-    for tokens in (256, 700):
-        at = token_bits(tokens)
-        sets = rng.integers(0, 2, (40, tokens)).astype(np.uint8)
-        packed = np.unpackbits(sketches(sets, at), axis=1)
+    for universe, bits in ((256, sketch_bits(8)), (5000, 128)):
+        assert len(set(token_bits(np.arange(universe), bits).tolist())) < universe
+        sets = [np.flatnonzero(rng.random(universe) < 0.4) for _ in range(40)]
+        packed = np.unpackbits(sketches(np.concatenate(sets), np.array([len(s) for s in sets]), bits), axis=1)
         for i in range(0, 40, 2):
-            apart, shown = int((sets[i] ^ sets[i + 1]).sum()), int((packed[i] ^ packed[i + 1]).sum())
-            assert shown == apart if tokens == 256 else shown <= apart
+            apart, shown = len(set(sets[i]) ^ set(sets[i + 1])), int((packed[i] ^ packed[i + 1]).sum())
+            assert shown <= apart and (apart - shown) % 2 == 0
+
+
+def test_texts_with_insertions_and_reordering(spark):
+    """Sets of words of any number, edited by insertion, deletion, replacement and shuffling, against all pairs."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(4000)]
+    texts = []
+    for _ in range(40):
+        base = rng.sample(vocabulary, rng.randrange(2, 90))
+        for _ in range(6):
+            words = list(base)
+            for _ in range(rng.randrange(6)):
+                words[rng.randrange(len(words)) : rng.choice([0, None])] = [rng.choice(vocabulary)] if rng.random() < 0.1 else []
+                words.insert(rng.randrange(len(words) + 1), rng.choice(vocabulary))
+            rng.shuffle(words)
+            texts.append(words)
+    texts += [[], ["one"], ["one", None, "one"], vocabulary[:7], None]
+    df = spark.createDataFrame([(i, w, "clash") for i, w in enumerate(texts)], "doc long, words array<string>, class string")
+    near = near_sets(df, "doc", "words", 6)
+    names = {r["class"]: set() for r in near.members.collect()}
+    for r in near.members.collect():
+        names[r["class"]].add(r["doc"])
+    sets = [None if t is None else frozenset(w for w in t if w) for t in texts]
+    got = {frozenset((sets[min(names[r.class_a])], sets[min(names[r.class_b])])): r.difference for r in near.links.collect()}
+    want = {frozenset((a, b)): len(a ^ b) for a in set(sets) - {None} for b in set(sets) - {None} if a != b and len(a ^ b) <= 6}
+    assert len(want) > 50 and got == want and sum(map(len, names.values())) == len(texts) - 1
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
