@@ -203,20 +203,23 @@ class History:
     def _near(self, before: list[Commit], new: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         """The fingerprints of the history (id, bits, image_id) that share a block with a new one, and
         (bits, near): both directions of each near pair of different fingerprints with a new one in it."""
-        fresh = scratch.save(_strings(new, True), "fresh")
+        inner = Scratch(self.spark, "lookup")
+        fresh = inner.save(_strings(new, True), "fresh")
         posts = postings(fresh, self.k)
         blocks = self.read("blocks", before, self._touched(posts, F.col("key"), before))
-        hits = scratch.save(blocks.join(posts.select("key").distinct(), "key", "left_semi").select("key", "id", F.lit(False).alias("fresh")), "hits")
+        hits = inner.save(blocks.join(posts.select("key").distinct(), "key", "left_semi").select("key", "id", F.lit(False).alias("fresh")), "hits")
         ids = hits.select("id").distinct()
         known = self.read("prints", before, self._touched(ids, F.col("id"), before)).join(ids, "id", "left_semi")
         known = scratch.save(known.groupBy("id", "bits").agg(F.min("image_id").alias("image_id")), "known")
         # Under hot keys the strings themselves are looked at; those that are new as well stay fresh there.
         old = known.select("id", "bits", F.hex("bits").alias("hex"), F.lit(False).alias("fresh"))
         every = fresh.unionByName(old.join(fresh.select("id"), "id", "left_anti"))
-        pairs = candidate_pairs(every, self.k, scratch, posts=posts.unionByName(hits))
-        near = verified(pairs, known.select("id", "bits").unionByName(fresh.select("id", "bits")), self.k, scratch)
+        pairs = candidate_pairs(every, self.k, inner, posts=posts.unionByName(hits))
+        near = verified(pairs, known.select("id", "bits").unionByName(fresh.select("id", "bits")), self.k, inner)
         both = near.select(F.explode(F.array(F.struct(F.col("bits_a").alias("bits"), F.col("bits_b").alias("near")), F.struct(F.col("bits_b").alias("bits"), F.col("bits_a").alias("near")))).alias("e"))
-        return known, scratch.save(both.select("e.*"), "near")
+        links = scratch.save(both.select("e.*"), "near")
+        inner.close()
+        return known, links
 
     @staticmethod
     def _spread(least: DataFrame, links: DataFrame, value: str) -> DataFrame:
