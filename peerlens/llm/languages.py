@@ -39,6 +39,8 @@ NAMES = {
     "bn": ["bn", "ben", "bengali", "bangla", "বাংলা"],
     "hi": ["hi", "hin", "hindi", "हिन्दी", "हिंदी"],
 }
+#: Languages that are written in both Latin and their own letters.
+TWO_SCRIPTS = ("bn",)
 #: Buckets of n-gram hashes, longest n-gram, and pseudo-count of an n-gram.
 BUCKETS, LONGEST_GRAM, SMOOTH = 1 << 16, 4, 0.05
 #: Sample documents of each language and script, and the longest of them in characters.
@@ -50,16 +52,122 @@ WORD_CAP, CHANGE = 6.0, 9.0
 #: Words of the shortest stretch that counts.
 SHORTEST = 8
 
-_NOISE = regex.compile(r"\b\w+://\S+|\bwww\.\S+|\S+@\S+\.\w+|</?[\p{L}|!?][^<>]{0,200}>|&#?\w{1,8};|\{\s*\"[^{}]*\}|\b[\w-]+\.(?:jpe?g|png|webp|bmp|pdf|json|csv)\b", regex.I)
-_WORD = regex.compile(r"(?<![\p{L}\p{M}\p{N}_#])\p{L}[\p{L}\p{M}‌‍'’]*+(?![\p{N}_])")
-_SIGNS = regex.compile(r"[̴-̸̓͑ͫ­​‎‏‪-‮⁠﻿\p{Me}]+")
+#: Code points from here on are ideographs or never used.
+_TOP = 0x20000
+_LETTER, _MARK, _INNER, _FIGURE, _HASH, _UNSEEN = range(1, 7)
+_LINK = regex.compile(r"\b\w+://\S+")
+_SITE = regex.compile(r"\bwww\.\S+", regex.I)
+_ADDRESS = regex.compile(r"(?<!\S)[^\s@]+@\S+\.\w+")
+_TAG = regex.compile(r"</?[\p{L}|!?][^<>]*>")
+_ENTITY = regex.compile(r"&#?\w{1,8};")
+_RECORD = regex.compile(r"\{\s*\"[^{}]*\}")
+_VALUE = regex.compile(r":\s*\"((?:[^\"\\]|\\.)*+)\"")
+_EXTENSIONS = ("jpg", "jpeg", "png", "webp", "bmp", "pdf", "json", "csv")
+_FILE = regex.compile(rf"(?<![\w-])[\w-]+\.(?:{'|'.join(_EXTENSIONS)})\b", regex.I)
+_RUN = regex.compile(r"(.{1,4}?)\1{7,}")
+#: Words of more letters are looked at for repetition ("hahaha…"), which makes them no words.
+LONG_WORD = 40
+#: Characters of texts that are cut into words together.
+HELD = 1 << 21
+
+
+def _kinds() -> np.ndarray:
+    """The part in words of each code point below ``_TOP``, and of all others at ``_TOP``."""
+    major = {"L": _LETTER, "M": _MARK, "N": _FIGURE}
+    out = np.array([major.get(unicodedata.category(chr(i))[0], 0) for i in range(_TOP)] + [_LETTER], np.uint8)
+    # Code points inside words that aren't letters, and those that a reader doesn't see.
+    out[[0x27, 0x2019, 0x200C, 0x200D]] = _INNER
+    out[ord("_")], out[ord("#")] = _FIGURE, _HASH
+    unseen = [0x334, 0x335, 0x336, 0x337, 0x338, 0x343, 0x351, 0x36B, 0xAD, 0x200B, 0x200E, 0x200F, *range(0x202A, 0x202F), 0x2060, 0xFEFF]
+    out[unseen + [i for i in range(_TOP) if unicodedata.category(chr(i)) == "Me"]] = _UNSEEN
+    return out
+
+
+_KINDS = _kinds()
+
+
+def _prose(record: regex.Match) -> str:
+    """The values of a record that are prose, of two words or more; its keys, codes and figures go."""
+    return " ".join(["", *(v for v in _VALUE.findall(record[0]) if len(v.split()) > 1), ""])
+
+
+def readable(text: str) -> str:
+    """The lower-case text without links, markup, records and file names; each is only looked for where its mark is."""
+    if "://" in text:
+        text = _LINK.sub(" ", text)
+    if "<" in text:
+        text = _TAG.sub(" ", text)
+    if "{" in text:
+        text = _RECORD.sub(_prose, text)
+    if "@" in text:
+        text = _ADDRESS.sub(" ", text)
+    if "&" in text:
+        text = _ENTITY.sub(" ", text)
+    low = text.lower()
+    if "www." in low:
+        text = _SITE.sub(" ", text)
+    if any("." + e in low for e in _EXTENSIONS):
+        text = _FILE.sub(" ", text)
+    return text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower()
+
+
+@dataclass(frozen=True)
+class Words:
+    """The words of texts: distinct ones, their numbers in the order of the texts, and how many each text has."""
+
+    distinct: list[str]
+    ids: np.ndarray
+    counts: np.ndarray
+
+
+def words_in(texts: list[str | None]) -> Words:
+    """Runs of letters, marks and apostrophes that begin with a letter; codes with figures and long repetitions aren't words.
+
+    All texts are cut at once: a table tells each character's part in words,
+    and equal words are found by a 64-bit hash of their characters.
+    """
+    clean = [readable(t) if t else "" for t in texts]
+    points = np.frombuffer("\n".join([*clean, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _KINDS[np.minimum(points, _TOP)]
+    stops = np.cumsum([len(t) + 1 for t in clean], dtype=np.int64)
+    if (kinds == _UNSEEN).any():
+        seen = kinds != _UNSEEN
+        stops = np.cumsum(seen)[stops - 1]
+        points, kinds = points[seen], kinds[seen]
+    inside = (kinds >= _LETTER) & (kinds <= _INNER)
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begin, end = edges[::2], edges[1::2]
+    # A run begins with its first letter: signs before it aren't part of the word.
+    letters = np.append(np.flatnonzero(kinds == _LETTER), len(kinds))
+    begin = letters[np.searchsorted(letters, begin)]
+    whole = begin < end
+    begin, end = begin[whole], end[whole]
+    around = np.concatenate([[0], kinds, [0]])
+    before, after = around[begin], around[end + 1]
+    whole = ((before == 0) | (before == _INNER)) & (after != _FIGURE)
+    begin, end = begin[whole], end[whole]
+    size = end - begin
+    if not len(begin):
+        return Words([], np.empty(0, np.int64), np.zeros(len(texts), np.int64))
+    at = np.repeat(begin, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    powers = np.cumprod(np.full(size.max(), 0xD1342543DE82EF95, np.uint64))
+    mixed = (points[at].astype(np.uint64) + np.uint64(0x632BE5AB)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * powers[at - np.repeat(begin, size)]
+    _, first, ids = np.unique(np.add.reduceat(mixed, np.cumsum(size) - size), return_index=True, return_inverse=True)
+    text = points.tobytes().decode("utf-32-le", "surrogatepass")
+    distinct = [text[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+    runs = np.array([len(w) > LONG_WORD and _RUN.search(w) is not None for w in distinct], bool)
+    if runs.any():
+        number = np.cumsum(~runs) - 1
+        left = ~runs[ids]
+        distinct, ids, begin = [w for w, r in zip(distinct, runs) if not r], number[ids[left]], begin[left]
+    return Words(distinct, ids, np.diff(np.searchsorted(begin, stops), prepend=0))
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case words of letters; links, markup, records, file names and codes with figures aren't words, nor are runs over 40 letters."""
-    text = _NOISE.sub(" ", text)
-    text = _SIGNS.sub("", unicodedata.normalize("NFKC", text))
-    return [w for w in _WORD.findall(text.lower()) if len(w) <= 40]
+    """The lower-case words of one text."""
+    found = words_in([text])
+    return [found.distinct[i] for i in found.ids]
 
 
 def label_code(label: Column) -> Column:
@@ -112,52 +220,91 @@ class Model:
         return np.maximum(score - score.max(1, keepdims=True), -WORD_CAP)
 
 
-def fit(texts: list[list[str]], labels: list[int], codes: tuple[str, ...], refits: int = REFITS) -> Model:
-    """Naive Bayes from documents (their words) and class numbers, fitted again without those it contradicts."""
-    known: dict[str, int] = {}
-    docs = [np.array([known.setdefault(w, len(known)) for w in t], np.int64) for t in texts]
-    rows, begin = gram_rows(list(known)) if known else (np.empty(0, np.int64), np.empty(0, np.int64))
+def fit(words: Words, labels: list[int], codes: tuple[str, ...], refits: int = REFITS) -> Model:
+    """Naive Bayes from documents and their class numbers, fitted again without those it contradicts."""
+    rows, begin = gram_rows(words.distinct) if words.distinct else (np.empty(0, np.int64), np.empty(0, np.int64))
     per_word = np.diff(np.append(begin, len(rows)))
-    keep = np.ones(len(docs), bool)
     labels_at = np.array(labels, np.int64)
+    keep = np.ones(len(labels_at), bool)
     model = Model(np.zeros((BUCKETS, len(codes)), np.float32), codes)
     for _ in range(refits + 1):
         counts = np.full((BUCKETS, len(codes)), SMOOTH)
         for c in range(len(codes)):
-            mine = [docs[i] for i in np.nonzero(keep & (labels_at == c))[0]]
-            if mine:
-                times = np.bincount(np.concatenate(mine), minlength=len(known)).astype(np.float64)
-                counts[:, c] += np.bincount(rows, np.repeat(times, per_word), BUCKETS)
+            mine = words.ids[np.repeat(keep & (labels_at == c), words.counts)]
+            times = np.bincount(mine, minlength=len(words.distinct)).astype(np.float64)
+            counts[:, c] += np.bincount(rows, np.repeat(times, per_word), BUCKETS)
         model = Model(np.log(counts / counts.sum(0)).astype(np.float32), codes)
-        scores = model.word_scores(list(known))
-        best = np.array([scores[d].sum(0).argmax() if len(d) else -1 for d in docs], np.int64)
+        some = words.counts > 0
+        best = np.full(len(labels_at), -1)
+        if some.any():
+            best[some] = _totals(model.word_scores(words.distinct)[words.ids], words.counts[some]).argmax(1)
         keep = best == labels_at
     return model
 
 
+def _totals(scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of the word scores of each text; every text has words."""
+    return np.add.reduceat(scores, np.cumsum(counts) - counts, axis=0)
+
+
+def mixed_texts(scores: np.ndarray, counts: np.ndarray, change: float = CHANGE) -> tuple[np.ndarray, np.ndarray]:
+    """(main class, whether a path with changes may beat it) of each text.
+
+    A text is of one class where no stretch of another class gains more than
+    one change costs.  The gains of all texts run in one sum: each text starts
+    so far below the one before that a running minimum starts anew with it.
+    """
+    begin = np.cumsum(counts) - counts
+    main = np.add.reduceat(scores, begin, axis=0).argmax(1)
+    gain = scores - np.take_along_axis(scores, np.repeat(main, counts)[:, None], 1)
+    np.cumsum(gain, axis=0, out=gain)
+    base = np.vstack([np.zeros(scores.shape[1]), gain[begin[1:] - 1]])
+    down = (2 * WORD_CAP * counts.max() + 1) * np.arange(len(counts))
+    gain -= np.repeat(base + down[:, None], counts, axis=0)
+    least = np.minimum.accumulate(gain, axis=0)
+    np.minimum(least, np.repeat(-down, counts)[:, None], out=least)
+    gain -= least
+    return main, np.maximum.reduceat(gain.max(1), begin) > change
+
+
+def best_paths(scores: np.ndarray, counts: np.ndarray, change: float = CHANGE) -> np.ndarray:
+    """The class of each word on the best path of each text, by Viterbi steps over all texts at once."""
+    order = np.argsort(-counts, kind="stable")
+    begin, left = (np.cumsum(counts) - counts)[order], counts[order]
+    longest = int(left[0])
+    active = len(left) - np.searchsorted(left[::-1], np.arange(longest), "right")
+    stay = np.arange(scores.shape[1])
+    back = np.empty(scores.shape, np.int8)
+    best = scores[begin]
+    for i in range(1, longest):
+        a = active[i]
+        rows, now = begin[:a] + i, best[:a]
+        top = now.argmax(1)
+        moved = now[np.arange(a), top, None] - change
+        back[rows] = np.where(now >= moved, stay, top[:, None])
+        best[:a] = np.maximum(now, moved) + scores[rows]
+    at = best.argmax(1)
+    path = np.empty(len(scores), np.int64)
+    for i in range(longest - 1, -1, -1):
+        rows = begin[: active[i]] + i
+        path[rows] = at[: active[i]]
+        if i:
+            at[: active[i]] = back[rows, at[: active[i]]]
+    return path
+
+
 def stretches(scores: np.ndarray, change: float = CHANGE, shortest: int = SHORTEST) -> list[tuple[int, int, int]]:
     """(begin, end, class) of the stretches of a document from its word scores (word, class)."""
-    n = len(scores)
-    if not n:
+    if not len(scores):
         return []
-    main = int(scores.sum(0).argmax())
-    gain = np.cumsum(scores - scores[:, main : main + 1], axis=0)
-    gain = np.vstack([np.zeros(scores.shape[1]), gain])
-    # No stretch of another class gains what one change costs: then no path with changes beats this one.
-    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= change:
-        return [(0, n, main)]
-    best, back = scores[0].copy(), np.empty(scores.shape, np.int64)
-    stay = np.arange(scores.shape[1])
-    for i in range(1, n):
-        top = int(best.argmax())
-        moved = best[top] - change
-        back[i] = np.where(best >= moved, stay, top)
-        best = np.maximum(best, moved) + scores[i]
-    path = np.empty(n, np.int64)
-    path[-1] = best.argmax()
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i][path[i]]
-    cuts = [0, *(np.nonzero(np.diff(path))[0] + 1).tolist(), n]
+    counts = np.array([len(scores)])
+    main, mixed = mixed_texts(scores, counts, change)
+    return _cut(best_paths(scores, counts, change), scores, shortest) if mixed[0] else [(0, len(scores), int(main[0]))]
+
+
+def _cut(path: np.ndarray, scores: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
+    """The stretches of a path, none shorter than ``shortest`` unless it is the whole text."""
+    cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
     return joined([(a, b, int(path[a])) for a, b in zip(cuts, cuts[1:])], scores, shortest)
 
 
@@ -202,26 +349,76 @@ def training_sample(df: DataFrame, item: str, text: str, label: str, per_class:
     body = df.where(F.col(item).isNotNull() & (F.length(text) > 0) & (F.length(text) <= SAMPLE_CHARS))
     latin = F.length(F.regexp_replace(text, r"[^A-Za-z]", "")) * 2 > F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
     body = body.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"), label_code(F.col(label)).alias("code"), latin.alias("latin"))
-    body = body.where(F.col("code").isNotNull()).withColumn("class", F.concat_ws("-", "code", F.when(F.col("latin"), "latin").otherwise("own")))
+    # The script is only asked for where it makes a class.
+    body = body.where(F.col("code").isNotNull()).withColumn("latin", F.col("code").isin(*TWO_SCRIPTS) & F.col("latin"))
+    body = body.withColumn("class", F.concat_ws("-", "code", F.when(F.col("latin"), "latin").otherwise("own")))
     drawn = body.withColumn("draw", F.xxhash64("item", F.lit(3)))
     return top_n_per_group(drawn, ["class"], [("draw", "asc")], "item", per_class, keep=["code", "latin", "text"])
 
 
-#: Languages that are written in both Latin and their own letters.
-TWO_SCRIPTS = ("bn",)
-
-
 def fit_on(df: DataFrame, item: str, text: str, label: str, per_class: int = SAMPLE) -> Model:
     """The model of a table of labelled documents; at most ``per_class`` documents of each class reach the driver."""
-    names, texts, labels = [], [], []
+    texts, labels = [], []
     codes = sorted(NAMES)
     classes = [(c, s) for c in codes for s in ((True, False) if c in TWO_SCRIPTS else (None,))]
     at = {x: i for i, x in enumerate(classes)}
     for r in training_sample(df, item, text, label, per_class).select("code", "latin", "item", "text").orderBy("code", "latin", "item").toLocalIterator():
-        names.append(r["item"])
-        texts.append(words_of(r["text"]))
+        texts.append(r["text"])
         labels.append(at[(r["code"], bool(r["latin"]) if r["code"] in TWO_SCRIPTS else None)])
-    return fit(texts, labels, tuple(c for c, _ in classes))
+    return fit(words_in(texts), labels, tuple(c for c, _ in classes))
+
+
+def _judged(texts: list[str | None], model: Model, change: float, shortest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, seg_no, lang, words, confidence) of the texts with words, in their order."""
+    found = words_in(texts)
+    codes = np.array(model.codes)
+    names = sorted(set(model.codes))
+    same = (codes[:, None] == np.array(names)[None, :]).astype(np.float64)
+    some = np.flatnonzero(found.counts)
+    if not len(some):
+        return some, some, np.empty(0, object), some, np.empty(0)
+    counts = found.counts[some]
+    scores = model.word_scores(found.distinct)[found.ids]
+
+    def shares(total: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """(stretch, language): the damped posterior of each language."""
+        total = total / np.sqrt(n)[:, None]
+        share = np.exp(total - total.max(1, keepdims=True))
+        return share @ same / share.sum(1, keepdims=True)
+
+    main, mixed = mixed_texts(scores, counts, change)
+    one = np.flatnonzero(~mixed)
+    lang_of = np.array([names.index(c) for c in model.codes])
+    sure = shares(_totals(scores, counts), counts)
+    # (text, seg_no, language, words, confidence) of the texts of one language.
+    parts = [np.column_stack([some[one], np.zeros(len(one)), lang_of[main[one]], counts[one], sure[one, lang_of[main[one]]]])]
+    if mixed.any():
+        which = np.flatnonzero(mixed)
+        inside = scores[np.repeat(mixed, counts)]
+        path = best_paths(inside, counts[which], change)
+        rows: list[tuple] = []
+        for text, end, n in zip(which, np.cumsum(counts[which]).tolist(), counts[which].tolist()):
+            mine = inside[end - n : end]
+            cut: list[list[int]] = []
+            for a, b, c in _cut(path[end - n : end], mine, shortest):
+                if cut and cut[-1][2] == lang_of[c]:
+                    cut[-1][1] = b
+                else:
+                    cut.append([a, b, lang_of[c]])
+            votes = np.zeros(len(names))
+            for a, b, c in cut:
+                votes[c] += b - a
+            likely = [mine[:, codes == x].sum(0).max() for x in names] if (votes == votes.max()).sum() > 1 else votes
+            top = max(range(len(names)), key=lambda i: (votes[i], likely[i]))
+            rows.append((some[text], 0, top, n, sure[text, top]))
+            if len({c for *_, c in cut}) > 1:
+                total = np.add.reduceat(mine, [a for a, *_ in cut], axis=0)
+                each = shares(total, np.array([b - a for a, b, _ in cut], np.float64))
+                rows += [(some[text], i, c, b - a, each[i - 1, c]) for i, (a, b, c) in enumerate(cut, 1)]
+        parts.append(np.array(rows))
+    out = np.vstack(parts)
+    out = out[np.lexsort((out[:, 1], out[:, 0]))]
+    return out[:, 0].astype(np.int64), out[:, 1].astype(np.int32), np.array(names, object)[out[:, 2].astype(np.int64)], out[:, 3].astype(np.int32), out[:, 4]
 
 
 def languages(df: DataFrame, item: str, text: str, model: Model, *, change: float = CHANGE, shortest: int = SHORTEST) -> DataFrame:
@@ -240,42 +437,20 @@ def languages(df: DataFrame, item: str, text: str, model: Model, *, change: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        codes = np.array(model.codes)
-        names = sorted(set(model.codes))
         for batch in batches:
-            like = batch.schema.field(0).type
-            out: list[tuple] = []
-            known: dict[str, int] = {}
-            texts = [np.array([known.setdefault(w, len(known)) for w in words_of(t.as_py())], np.int64) if t.is_valid else np.empty(0, np.int64) for t in batch.column(1)]
-            by_word = model.word_scores(list(known))
-
-            def sure(part: np.ndarray, code: str) -> float:
-                total = part.sum(0) / np.sqrt(len(part))
-                total = np.exp(total - total.max())
-                return float(total[codes == code].sum() / total.sum())
-
-            for one, t in zip(batch.column(0).to_pylist(), texts):
-                if not len(t):
-                    continue
-                scores = by_word[t]
-                parts: list[list] = []
-                for begin, end, c in stretches(scores, change, shortest):
-                    if parts and parts[-1][2] == codes[c]:
-                        parts[-1][1] = end
-                    else:
-                        parts.append([begin, end, str(codes[c])])
-                votes = {n: 0 for n in names}
-                for begin, end, code in parts:
-                    votes[code] += end - begin
-                main = max(names, key=lambda n: (votes[n], float(scores[:, codes == n].sum(0).max())))
-                out.append((one, 0, main, len(t), sure(scores, main)))
-                if len({p[2] for p in parts}) > 1:
-                    out += [(one, i, code, end - begin, sure(scores[begin:end], code)) for i, (begin, end, code) in enumerate(parts, 1)]
-            columns = list(zip(*out)) or [(), (), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], like), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.float64())],
-                names=["item", "seg_no", "lang", "words", "confidence"],
-            )
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            begin = 0
+            while begin < len(texts):
+                end, held = begin, 0
+                while end < len(texts) and (end == begin or held < HELD):
+                    held += len(texts[end] or "")
+                    end += 1
+                rows, seg_no, lang, words, sure = _judged(texts[begin:end], model, change, shortest)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows + begin)), pa.array(seg_no, pa.int32()), pa.array(lang, pa.string()), pa.array(words, pa.int32()), pa.array(sure, pa.float64())],
+                    names=["item", "seg_no", "lang", "words", "confidence"],
+                )
+                begin = end
 
     found = df.select(item, text).mapInArrow(run, f"item {kind}, seg_no int, lang string, words int, confidence double")
     return found.withColumnRenamed("item", item)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from peerlens.llm.languages import NAMES, Model, fit, label_code, languages, mended_labels, stretches, words_of
+from peerlens.llm.languages import NAMES, Model, fit, label_code, languages, mended_labels, stretches, words_in, words_of
 from pyspark.sql import functions as F
 
 SENTENCES = {
@@ -85,6 +85,37 @@ def test_words():
     assert words_of("See https://x.y/z?a=b <b>Café</b> {\"conf\": 0.6, \"box\": [1]} image_01.jpg A1 l'étal n°5") == ["see", "café", "l'étal", "n"]
 
 
+def test_words_of_records_and_long_words():
+    assert words_of('{"note": "hello there my friend", "code": "xk", "conf": 0.3}') == ["hello", "there", "my", "friend"]
+    long = "donaudampfschifffahrtselektrizitätenhauptbetriebswerk"
+    assert words_of(f"das {long} und hahaha{'ha' * 30} <a {'x' * 500}>hier</a>") == ["das", long, "und", "hier"]
+    assert words_of("#tag a_b ¿qué? 12th \u00adsoft\u00adly 'tis") == ["qué", "softly", "tis"]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    rng = random.Random(2)
+    texts = [rng.choice([None, "", " ", "\n", "a\nb", "x\u200by z", "ভাষা", "’s"]) if rng.random() < 0.3 else rng.choice(SENTENCES[rng.choice(list(SENTENCES))]) for _ in range(300)]
+    found, at = words_in(texts), 0
+    for text, n in zip(texts, found.counts):
+        assert [found.distinct[i] for i in found.ids[at : at + n]] == words_of(text or "")
+        at += n
+    assert at == len(found.ids)
+
+
+def test_paths_of_many_texts_are_those_of_each():
+    from peerlens.llm.languages import best_paths, mixed_texts
+
+    rng = np.random.default_rng(6)
+    counts = rng.integers(1, 60, 40)
+    scores = np.maximum(-np.abs(rng.normal(size=(counts.sum(), 4))) * 6, -6)
+    path, (main, mixed), at = best_paths(scores, counts), mixed_texts(scores, counts), 0
+    for n, m, x in zip(counts, main, mixed):
+        one = scores[at : at + n]
+        assert (best_paths(one, np.array([n])) == path[at : at + n]).all()
+        assert x or (path[at : at + n] == m).all()
+        at += n
+
+
 def test_stretches_rules():
     a, b = [0.0, -5.0], [-5.0, 0.0]
     assert stretches(np.array([a] * 20 + [b] * 7 + [a] * 20), 6, 8) == [(0, 47, 0)]
@@ -111,7 +142,7 @@ def test_stretches_of_eight_words_in_close_languages(spark, model):
 def test_nothing_to_fit_on(spark):
     empty = spark.createDataFrame([], DOCS)
     assert mended_labels(empty, "doc_id", "text", "lang").count() == 0
-    assert isinstance(fit([], [], ("en", "es")), Model)
+    assert isinstance(fit(words_in([]), [], ("en", "es")), Model)
 
 
 def test_joining_equals_the_plain_way():
