@@ -11,13 +11,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.internal import InternalFunction
 
 from peerlens.config import Consensus, Gate
+from peerlens.functions.aggregates import smallest
 from peerlens.operators.ranking import quantiles
-from peerlens.operators.ranks import sums_between, value_at_rank
+from peerlens.operators.ranks import sums_between, values_at_ranks
 from peerlens.operators.scratch import Scratch
-from peerlens.operators.tiles import BLOCK, Tile, best_in_tile, each_tile, kind_of, rank_range, sides, statistic, tiled
+from peerlens.operators.tiles import BLOCK, Tile, Tiling, best_in_tile, each_tile, kind_of, rank_range, sides, statistic
 
 
 def consensus(items: DataFrame, others: DataFrame | None = None, how: Consensus | None = None, block: int = BLOCK) -> DataFrame:
@@ -35,7 +35,8 @@ def consensus(items: DataFrame, others: DataFrame | None = None, how: Consensus
 
 def peer_statistic(rows: DataFrame, how: Consensus, strangers: bool, floor: float | None, block: int) -> DataFrame:
     """(grp, item, n_peers, s, top) of the rows that ask: over peers at ``floor`` or more, and the greatest ``w`` of those."""
-    tiles, large = tiled(rows, block)
+    tiling = Tiling(rows, block)
+    tiles = tiling.small()
     keys = f"grp {kind_of(tiles, 'grp')}, item {kind_of(tiles, 'item')}"
 
     def best(tile: Tile, sim: np.ndarray) -> pa.Array:
@@ -50,59 +51,67 @@ def peer_statistic(rows: DataFrame, how: Consensus, strangers: bool, floor: floa
             parts.append(pa.table({"grp": tile.column("grp", rows), "item": tile.column("item", rows), "n_peers": n.astype(np.int32), "s": pa.array(s, mask=np.isnan(s)), "top": best(tile, sim)}))
         return pa.concat_tables(parts) if parts else None
 
-    def count(tile: Tile) -> pa.Table | None:
-        parts = [pa.table({"grp": tile.column("grp", rows), "item": tile.column("item", rows), "n": (~np.isnan(sim)).sum(1), "top": best(tile, sim)}) for rows, sim in tile.similarities()]
-        return pa.concat_tables(parts) if parts else None
+    small = each_tile(tiles, whole, f"{keys}, n_peers int, s double, top double", strangers, floor)
+    return small.unionByName(_over_tiles(tiling, how, best, strangers, floor)) if tiling.large else small
 
-    small = each_tile(tiles.where("not big"), whole, f"{keys}, n_peers int, s double, top double", strangers, floor)
-    if not large:
-        return small
-    tiles = tiles.where("big")
-    n = each_tile(tiles, count, f"{keys}, n bigint, top double", strangers, floor).groupBy("grp", "item").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
-    return small.unionByName(_over_tiles(tiles, n, how, strangers, floor))
 
+def _over_tiles(tiling: Tiling, how: Consensus, best, strangers: bool, floor: float | None) -> DataFrame:
+    """The statistic of large groups, from the values at two ranks, and for a trimmed mean the sum between them."""
+    rank_range(np.array([1]), how.method, how.trim_fraction, 0)  # says if there is no such statistic
 
-def _over_tiles(tiles: DataFrame, n: DataFrame, how: Consensus, strangers: bool, floor: float | None) -> DataFrame:
-    """The statistic from the values at two ranks, and for a trimmed mean the sum between them."""
-    if how.method == "median":
-        lo, hi = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    else:
-        rank_range(np.array([1]), how.method, how.trim_fraction, 0)  # says if there is no such statistic
-        lo = F.floor(F.col("n") * how.trim_fraction)
-        hi = F.col("n") - lo - 1
-    few = F.col("n") < how.min_peers_for_median
-    none = n.where("n = 0").select("grp", "item", F.lit(0).alias("n_peers"), F.lit(None).cast("double").alias("s"), "top")
-    some = n.where("n > 0").select("grp", "item", "n", "top", F.when(few, F.lit(0)).otherwise(lo).alias("a"), F.when(few, F.col("n") - 1).otherwise(hi).alias("b"))
-    at_a = value_at_rank(tiles, some.select("grp", "item", F.col("a").alias("rank")), strangers, floor).withColumnRenamed("value", "lo")
-    at_b = value_at_rank(tiles, some.select("grp", "item", F.col("b").alias("rank")), strangers, floor).withColumnRenamed("value", "hi")
-    ends = some.join(at_a, ["grp", "item"]).join(at_b, ["grp", "item"])
+    def ranks(n: Column) -> tuple[Column, Column]:
+        if how.method == "median":
+            lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
+        else:
+            lo = F.floor(n * how.trim_fraction)
+            hi = n - lo - 1
+        few = n < how.min_peers_for_median
+        return F.when(few, F.lit(0)).otherwise(lo), F.when(few, n - 1).otherwise(hi)
+
+    scratch = Scratch(tiling.held.sparkSession, "ranks")
+    ends = values_at_ranks(tiling, ranks, best, scratch, strangers, floor)
     if how.method == "median" and how.min_peers_for_median <= 3:
-        total, size = F.col("lo") + F.col("hi"), F.lit(2)
+        s = (F.col("lo") + F.col("hi")) / 2
     else:
-        ends = ends.join(sums_between(tiles, ends, strangers, floor), ["grp", "item"])
+        ends = ends.join(sums_between(tiling, ends, strangers, floor), ["grp", "item"])
         # Ranks a to b: those at lo from a on, those between, and the rest at hi.
         size = F.col("b") - F.col("a") + 1
         from_lo = F.least(F.col("below") + F.col("at_lo") - F.col("a"), size)
-        total = from_lo * F.col("lo") + F.col("inner") + (size - from_lo - F.col("between")) * F.col("hi")
-    return ends.select("grp", "item", F.col("n").cast("int").alias("n_peers"), (total / size).alias("s"), "top").unionByName(none)
+        s = F.when(F.col("n") > 0, (from_lo * F.col("lo") + F.col("inner") + (size - from_lo - F.col("between")) * F.col("hi")) / size)
+    return ends.select("grp", "item", F.col("n").cast("int").alias("n_peers"), s.alias("s"), "top")
+
+
+#: Scores of a group whose medians one aggregate takes; larger groups are ranked by ranges.
+MEDIAN_ROWS = 1 << 16
 
 
-def modified_z(scores: DataFrame, mad_floor: float = 0.01, scratch: Scratch | None = None) -> DataFrame:
+def modified_z(scores: DataFrame, mad_floor: float = 0.01, scratch: Scratch | None = None, most: int = MEDIAN_ROWS) -> DataFrame:
     """``scores`` (grp, item, s, …) with n_scored, median_s, mad and z = 0.6745 (s - median) / max(MAD, floor).
 
-    The scores are stored first, as several plans read them.  Medians are taken
-    by rank, so a group of any size is spread over tasks.  Null s is no value
-    and has a null z.
+    The scores are stored first, as several plans read them.  Groups of up to
+    ``most`` scores have their medians from one aggregate; those of larger ones
+    are taken by rank, so a group of any size is spread over tasks.  Null s is
+    no value and has a null z.
     """
     scratch = scratch or Scratch(scores.sparkSession, "z")
     scores = scratch.save(scores, "consensus")
     size = scores.groupBy("grp").agg(F.count(F.lit(1)).cast("int").alias("n_scored"))
-    middle = scratch.save(quantiles(scores, "grp", "s", [0.5], scratch).select("grp", F.col("q")[0].alias("median_s")), "medians")
-    with_median = scores.join(size, "grp", "left").join(middle, "grp", "left")
+    large = None
+    if scores.count() > most:
+        large = scratch.save(size.where(F.col("n_scored") > most).select("grp"), "large")
+        large = None if large.isEmpty() else large
+
+    def medians(rows: DataFrame, value: str, name: str) -> DataFrame:
+        if large is None:
+            return rows.groupBy("grp").agg(F.median(value).alias(name))
+        few = rows.join(large, "grp", "left_anti").groupBy("grp").agg(F.median(value).alias(name))
+        many = quantiles(rows.join(large, "grp", "left_semi"), "grp", value, [0.5], scratch)
+        return few.unionByName(many.select("grp", F.col("q")[0].alias(name)))
+
+    with_median = scores.join(size, "grp", "left").join(medians(scores, "s", "median_s"), "grp", "left")
     away = with_median.select("grp", F.abs(F.col("s") - F.col("median_s")).alias("away"))
-    mad = quantiles(away, "grp", "away", [0.5], scratch).select("grp", F.col("q")[0].alias("mad"))
     z = 0.6745 * (F.col("s") - F.col("median_s")) / F.greatest("mad", F.lit(mad_floor))
-    return with_median.join(mad, "grp", "left").withColumn("z", z)
+    return with_median.join(medians(away, "away", "mad"), "grp", "left").withColumn("z", z)
 
 
 def folders(scored: DataFrame, gate: Gate | None = None) -> DataFrame:
@@ -124,10 +133,10 @@ def candidate(n: Column, z: Column, p: Column, gate: Gate) -> Column:
 
 def top_peers(items: DataFrame, k: int, others: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """(grp, item, rank, peer, cos): the k most similar peers of each item; equal ones by name."""
-    tiles, _ = tiled(sides(items, others), block)
+    tiles = Tiling(sides(items, others), block).every()
     key, item = kind_of(tiles, "grp"), kind_of(tiles, "item")
     found = each_tile(tiles, best_in_tile(k), f"grp {key}, item {item}, peer {item}, cos double")
-    heaps = found.groupBy("grp", "item").agg(F.array_sort(InternalFunction.collect_top_k(F.struct((-F.col("cos")).alias("far"), "peer"), k, True)).alias("h"))
+    heaps = found.groupBy("grp", "item").agg(smallest(F.struct((-F.col("cos")).alias("far"), "peer"), k).alias("h"))
     return heaps.select("grp", "item", F.posexplode("h").alias("pos", "e")).select(
         "grp", "item", (F.col("pos") + 1).alias("rank"), F.col("e.peer").alias("peer"), (-F.col("e.far")).alias("cos"),
     )
@@ -136,7 +145,7 @@ def top_peers(items: DataFrame, k: int, others: DataFrame | None = None, block:
 def typical_peers(scores: DataFrame, k: int) -> DataFrame:
     """(grp, rank, peer): the k + 1 items of greatest s in each group, so that k remain without the asking item; equal ones by name."""
     entry = F.struct((-F.col("s")).alias("low"), F.col("item").alias("peer"))
-    heaps = scores.where("s is not null").groupBy("grp").agg(F.array_sort(InternalFunction.collect_top_k(entry, k + 1, True)).alias("h"))
+    heaps = scores.where("s is not null").groupBy("grp").agg(smallest(entry, k + 1).alias("h"))
     return heaps.select("grp", F.posexplode("h").alias("pos", "e")).select("grp", (F.col("pos") + 1).alias("rank"), F.col("e.peer").alias("peer"))
 
 
@@ -148,7 +157,7 @@ def peers_to_verify(asking: DataFrame, supported: DataFrame, scores: DataFrame,
     similar = top_peers(asking, k_similar, supported).select("grp", "item", F.col("rank").alias("pos"), "peer")
     typical = asking.select("grp", "item").join(typical_peers(scores, k_typical), "grp").where("item <> peer")
     # Without itself an item has its first k typical peers left.
-    entry = F.array_sort(InternalFunction.collect_top_k(F.struct("rank", "peer"), k_typical, True))
+    entry = smallest(F.struct("rank", "peer"), k_typical)
     typical = typical.groupBy("grp", "item").agg(entry.alias("h")).select("grp", "item", F.posexplode("h").alias("p", "e"))
     typical = typical.select("grp", "item", (F.col("p") + 1 + k_similar).alias("pos"), F.col("e.peer").alias("peer"))
     both = similar.unionByName(typical)
@@ -174,7 +183,7 @@ def support_groups(asking: DataFrame, others: DataFrame, floor: float, min_size:
 
 def similarity_profile(items: DataFrame, others: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """(grp, item, n_peers, least, mean, greatest): the similarities of each item to its peers in four mergeable numbers."""
-    tiles, _ = tiled(sides(items, others), block)
+    tiles = Tiling(sides(items, others), block).every()
     keys = f"grp {kind_of(tiles, 'grp')}, item {kind_of(tiles, 'item')}"
 
     def run(tile: Tile) -> pa.Table | None:
@@ -201,7 +210,7 @@ def pair_quantiles(items: DataFrame, at: list[float], others: DataFrame | None =
     One pass over the tiles counts the values per range; a second gathers the
     few values of the ranges that hold a wanted rank, as (value, count).
     """
-    tiles, _ = tiled(sides(items, others), block)
+    tiles = Tiling(sides(items, others), block).every()
     ranges = 1 << 14
     once = others is None
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerlens.functions.aggregates import smallest
 from peerlens.functions.text import overlap, snippet, tokens
 from peerlens.functions.vectors import dot, softmax, unit
 from peerlens.operators.consensus import typical_peers
@@ -52,9 +53,7 @@ def majority_of_others(labels: DataFrame) -> DataFrame:
     counts = labels.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("c"))
     total = counts.groupBy("grp").agg(F.sum("c").alias("total"))
     # Less its own one, a leading label may fall behind any of those it led by one or less; the three first are enough.
-    from pyspark.sql.internal import InternalFunction
-
-    lead = counts.groupBy("grp").agg(F.array_sort(InternalFunction.collect_top_k(F.struct((-F.col("c")).alias("c"), "label"), 3, True)).alias("lead"))
+    lead = counts.groupBy("grp").agg(smallest(F.struct((-F.col("c")).alias("c"), "label"), 3).alias("lead"))
     rows = labels.join(lead, "grp").join(total, "grp").where("total > 1")
     less = F.transform("lead", lambda e: F.struct((e["c"] + F.when(e["label"] == F.col("label"), 1).otherwise(0)).alias("c"), e["label"].alias("label")))
     first = F.element_at(F.array_sort(F.filter(less, lambda e: e["c"] < 0)), 1)
@@ -65,9 +64,7 @@ def peer_text(scores: DataFrame, items: DataFrame, peers: int, asking: DataFrame
     """(grp, item, texts): the recognised text of the most typical other items of the group; ``items`` is (grp, item, texts), of which all or only the ``asking`` are told."""
     top = typical_peers(scores, peers)
     asking = (items if asking is None else asking).select("grp", "item").join(top, "grp").where("item <> peer")
-    from pyspark.sql.internal import InternalFunction
-
-    first = asking.groupBy("grp", "item").agg(InternalFunction.collect_top_k(F.struct("rank", "peer"), peers, True).alias("h"))
+    first = asking.groupBy("grp", "item").agg(smallest(F.struct("rank", "peer"), peers).alias("h"))
     each = first.select("grp", "item", F.explode("h").alias("e")).select("grp", "item", F.col("e.rank").alias("rank"), F.col("e.peer").alias("peer"))
     texts = items.select("grp", F.col("item").alias("peer"), "texts")
     got = each.join(texts, ["grp", "peer"]).groupBy("grp", "item").agg(F.array_sort(F.collect_list(F.struct("rank", "peer", "texts"))).alias("h"))

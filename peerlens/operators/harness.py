@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.config import Config
+from peerlens.functions.aggregates import smallest
 from peerlens.operators import decide
 from peerlens.operators.calibrate import Ratio, donors, hashed_order
 from peerlens.operators.consensus import top_peers
@@ -44,9 +45,7 @@ def planted(items: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, seed: i
     """
     pool = pairs.join(reps.select(F.col("grp").alias("donor"), "item", "sha"), "donor").join(items.select("grp", "sha").distinct(), ["grp", "sha"], "left_anti")
     drawn = pool.withColumn("at", hashed_order(seed, "plant", "grp", "donor", "item"))
-    from pyspark.sql.internal import InternalFunction
-
-    heap = drawn.groupBy("grp", "donor").agg(InternalFunction.collect_top_k(F.struct("at", "item"), k, True).alias("h"))
+    heap = drawn.groupBy("grp", "donor").agg(smallest(F.struct("at", "item"), k).alias("h"))
     chosen = heap.select("grp", "donor", F.explode("h").alias("e")).select("grp", "donor", F.col("e.item").alias("item"))
     rows = chosen.join(items.withColumnRenamed("grp", "donor"), ["donor", "item"])
     return rows.select("grp", F.concat(F.lit(PLANTED), "donor", F.lit("__"), "item").alias("item"), "sha", "readable", "bits")

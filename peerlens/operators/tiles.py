@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerlens.operators.scratch import Scratch
+
 #: Items in a block, and items packed into one task from small groups.
-BLOCK, PACK = 2048, 8192
+BLOCK, PACK = 8192, 8192
 
 
 def sides(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
@@ -33,36 +35,52 @@ def sides(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
     )
 
 
-def tiled(rows: DataFrame, block: int = BLOCK, pack: int = PACK) -> tuple[DataFrame, bool]:
-    """``rows`` (grp, item, vec, l, r, and any others) with their tile, and whether any group is large.
-
-    The tile is in the columns pack, bi, bj, ask, give; ``big`` marks groups of more than one block.
+class Tiling:
+    """Rows (grp, item, vec, l, r, and any others) cut into tiles: columns pack, bi, bj, ask and give.
 
-    A row of a large group stands in a tile once for each block it meets.
-    Rows with a null group, item or vector are left out.
+    Groups of one block are packed many to a tile.  A row of a larger group
+    stands in a tile once for each block it meets, so a pass over a group of n
+    items copies n * n / block rows; the rows of such groups are stored once,
+    and what a pass needs besides is joined before they are copied.  Rows with
+    a null group, item or vector are left out.
     """
-    rows = rows.where("grp is not null and item is not null and vec is not null")
-    sizes = rows.groupBy("grp").agg(F.count_if("l").alias("nl"), F.count_if("r").alias("nr"))
-    total = rows.count()
-    packs = max(1, -(-total // pack))
-    large = sizes.where((F.col("nl") > block) | (F.col("nr") > block)).select(
-        "grp", F.greatest(F.ceil(F.col("nl") / block), F.lit(1)).cast("int").alias("bl"), F.greatest(F.ceil(F.col("nr") / block), F.lit(1)).cast("int").alias("br"),
-    )
-    if large.isEmpty():
-        return rows.select("*", F.pmod(F.xxhash64("grp"), F.lit(packs)).alias("pack"), F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.col("l").alias("ask"), F.col("r").alias("give"), F.lit(False).alias("big")), False
-    placed = rows.join(large, "grp", "left").withColumn("big", F.col("bl").isNotNull()).withColumns({"bl": F.coalesce("bl", F.lit(1)), "br": F.coalesce("br", F.lit(1))})
-    placed = placed.withColumns({"mi": F.pmod(F.xxhash64("item"), F.col("bl")).cast("int"), "mj": F.pmod(F.xxhash64("item"), F.col("br")).cast("int")})
-    asks = F.when(F.col("l"), F.expr("transform(sequence(0, br - 1), j -> struct(mi AS bi, j AS bj))"))
-    gives = F.when(F.col("r"), F.expr("transform(sequence(0, bl - 1), i -> struct(i AS bi, mj AS bj))"))
-    none = F.array().cast("array<struct<bi:int,bj:int>>")
-    placed = placed.withColumn("t", F.explode(F.array_distinct(F.concat(F.coalesce(asks, none), F.coalesce(gives, none)))))
-    # Large groups get a pack number of their own kind below zero; two on one number are told apart in the task.
-    number = F.when(F.col("big"), -F.lit(1) - F.pmod(F.xxhash64("grp"), F.lit(1 << 40))).otherwise(F.pmod(F.xxhash64("grp"), F.lit(packs)))
-    keep = [c for c in rows.columns]
-    return placed.select(
-        *keep, number.alias("pack"), F.col("t.bi").alias("bi"), F.col("t.bj").alias("bj"),
-        (F.col("l") & (F.col("t.bi") == F.col("mi"))).alias("ask"), (F.col("r") & (F.col("t.bj") == F.col("mj"))).alias("give"), "big",
-    ), True
+
+    def __init__(self, rows: DataFrame, block: int = 0, pack: int = PACK):
+        block = block or BLOCK
+        self.rows = rows.where("grp is not null and item is not null and vec is not null")
+        sizes = self.rows.groupBy("grp").agg(F.count_if("l").alias("nl"), F.count_if("r").alias("nr"), F.count(F.lit(1)).alias("n"))
+        most = sizes.agg(F.sum("n").alias("n"), F.max("nl").alias("nl"), F.max("nr").alias("nr")).first()
+        self.packs = max(1, -(-(most["n"] or 0) // pack))
+        self.large = max(most["nl"] or 0, most["nr"] or 0) > block
+        self.held = None
+        if self.large:
+            scratch = Scratch(rows.sparkSession, "tiles")
+            blocks = [F.greatest(F.ceil(F.col(n) / block), F.lit(1)).cast("int").alias(b) for n, b in (("nl", "bl"), ("nr", "br"))]
+            which = scratch.save(sizes.where((F.col("nl") > block) | (F.col("nr") > block)).select("grp", *blocks), "large")
+            self.held = scratch.save(self.rows.join(which, "grp"), "held")
+            self.rows = self.rows.join(which.select("grp"), "grp", "left_anti")
+
+    def small(self) -> DataFrame:
+        return self.rows.select("*", F.pmod(F.xxhash64("grp"), F.lit(self.packs)).alias("pack"), F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.col("l").alias("ask"), F.col("r").alias("give"))
+
+    def big(self, state: DataFrame | None = None) -> DataFrame:
+        """The tiles of the large groups, with the columns that ``state`` has for (grp, item)."""
+        rows = self.held if state is None else self.held.join(state, ["grp", "item"], "left")
+        keep = [c for c in rows.columns if c not in ("bl", "br")]
+        placed = rows.withColumns({"mi": F.pmod(F.xxhash64("item"), F.col("bl")).cast("int"), "mj": F.pmod(F.xxhash64("item"), F.col("br")).cast("int")})
+        asks = F.when(F.col("l"), F.expr("transform(sequence(0, br - 1), j -> struct(mi AS bi, j AS bj))"))
+        gives = F.when(F.col("r"), F.expr("transform(sequence(0, bl - 1), i -> struct(i AS bi, mj AS bj))"))
+        none = F.array().cast("array<struct<bi:int,bj:int>>")
+        placed = placed.withColumn("t", F.explode(F.array_distinct(F.concat(F.coalesce(asks, none), F.coalesce(gives, none)))))
+        # Two large groups on one number are told apart in the task.
+        return placed.select(
+            *keep, (-F.lit(1) - F.pmod(F.xxhash64("grp"), F.lit(1 << 40))).alias("pack"), F.col("t.bi").alias("bi"), F.col("t.bj").alias("bj"),
+            (F.col("l") & (F.col("t.bi") == F.col("mi"))).alias("ask"), (F.col("r") & (F.col("t.bj") == F.col("mj"))).alias("give"),
+        )
+
+    def every(self) -> DataFrame:
+        """All tiles, of groups of any size."""
+        return self.small().unionByName(self.big()) if self.large else self.small()
 
 
 class Tile:
@@ -78,8 +96,8 @@ class Tile:
         self.code = np.arange(len(names)) if strangers else np.unique(names, return_inverse=True)[1]
         ask, give = table.column("ask").to_numpy(), table.column("give").to_numpy()
         self.a, self.g = np.nonzero(ask)[0], np.nonzero(give)[0]
-        v = np.stack(table.column("vec").to_numpy(zero_copy_only=False)).astype(np.float64) if table.num_rows else np.empty((0, 0))
-        self.v = v
+        flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        self.v = flat.reshape(table.num_rows, -1) if table.num_rows else np.empty((0, 0))
 
     def __len__(self) -> int:
         return len(self.a)

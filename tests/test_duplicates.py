@@ -51,7 +51,8 @@ def test_representative(spark):
 
 def test_content_held_by_most_of_a_group_makes_few_links(spark):
     df = made(spark, [("g", f"i{i:04d}", "same", True, bits(7)) for i in range(500)])
-    links = d.copy_edges(df, 8, Scratch(spark, "t"))
+    scratch = Scratch(spark, "t")
+    links = d.copy_edges(d.numbered(df, scratch), 8, scratch).distinct()
     assert links.count() == 499
     assert sets(d.copy_groups(df, 8)) == [[f"i{i:04d}" for i in range(500)]]
 
@@ -65,9 +66,10 @@ def test_cross_group(spark):
 
 
 def test_long_chain(spark):
-    edges = spark.createDataFrame([("g", f"n{i:03d}", f"n{i + 1:03d}") for i in range(300)], "grp string, a string, b string")
-    got = d.smallest_reachable(edges, Scratch(spark, "t"))
-    assert got.count() == 301 and {r.root for r in got.select("root").distinct().collect()} == {"n000"}
+    """Neighbours of a chain are copies; all of it is one set, named by its first item."""
+    df = made(spark, [("g", f"n{i:03d}", f"s{i}", True, bits(*range(i, i + 8))) for i in range(120)])
+    got = d.copy_groups(df, 2).collect()
+    assert {(r.root, r.rep, r.size) for r in got} == {("n000", "n000", 120)} and len(got) == 120
 
 
 def test_empty(spark):
