@@ -64,7 +64,7 @@ def _deeper(rows: DataFrame, digits: int, k: int, hot_keys: DataFrame) -> DataFr
 
 
 def candidate_pairs(strings: DataFrame, k: int, scratch: Scratch, *, posts: DataFrame | None = None, scope: str | None = None, hot: int = HOT, digits: int = DIGITS) -> DataFrame:
-    """Distinct (a, b), a < b, of ids that share a block and of which one is fresh.
+    """(a, b), a < b, of ids that share a block and of which one is fresh; a pair may come more than once.
 
     ``posts`` is a stored table of the first postings, if there is one;
     ``strings`` are then read only for keys that are hot.
@@ -73,15 +73,18 @@ def candidate_pairs(strings: DataFrame, k: int, scratch: Scratch, *, posts: Data
     rows = _unposted(strings, scope)
     posts = posts if posts is not None else postings(strings, k, scope, digits)
     for level in range(LEVELS + 1):
-        counted = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("any_fresh"))
-        live = scratch.save(counted.where("n > 1 and any_fresh").select("key", "n"), "live-keys")
+        counted = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("fresh").alias("any_fresh"))
+        live = scratch.save(counted.where("lo < hi and any_fresh").select("key", "n", "lo", "hi"), "live-keys")
+        # Most live keys have two strings, which the count names: their postings needn't meet again.
+        found.append(live.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")))
         last = level == LEVELS
-        few = live if last else live.where(F.col("n") <= hot)
-        shared = scratch.save(posts.join(few.select("key"), "key").select("key", "id", "fresh"), "shared")
+        # Stored apart, so their size is known and a small table of keys is sent to the postings.
+        few = scratch.save(live.where("n > 2" if last else f"n > 2 and n <= {hot}").select("key"), "shared-keys")
+        shared = scratch.save(posts.join(few, "key").select("key", "id", "fresh"), "shared")
         left = shared.select("key", F.col("id").alias("a"), F.col("fresh").alias("fa"))
         right = shared.select("key", F.col("id").alias("b"), F.col("fresh").alias("fb"))
         found.append(left.join(right, "key").where("a < b and (fa or fb)").select("a", "b"))
-        many = live.where(F.col("n") > hot)
+        many = live.where(F.col("n") > hot).select("key")
         if last or many.isEmpty():
             break
         rows = scratch.save(_deeper(rows, digits, k, many), "deeper")
@@ -90,7 +93,8 @@ def candidate_pairs(strings: DataFrame, k: int, scratch: Scratch, *, posts: Data
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.distinct()
+    # Of one level a pair comes once for each block it shares, which is mostly one; further levels would multiply that.
+    return pairs.distinct() if len(found) > 2 else pairs
 
 
 def as_longs(bits: Column, name: str) -> list[Column]:
@@ -99,14 +103,18 @@ def as_longs(bits: Column, name: str) -> list[Column]:
 
 
 def verified(pairs: DataFrame, strings: DataFrame, k: int, scratch: Scratch) -> DataFrame:
-    """(bits_a, bits_b, distance) of the candidate ids whose strings differ in at most ``k`` bits.
+    """Distinct (bits_a, bits_b, distance) of the candidate ids whose strings differ in at most ``k`` bits.
 
     ``strings`` (id, bits) may repeat rows; it is read once, for the ids that
-    are candidates.  Two strings under one id are both compared.
+    are candidates.  Two strings under one id are both compared.  Only numbers
+    are shuffled with the pairs; the bits are made from them where they are near.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    named = scratch.save(strings.select("id", "bits").join(ids, "id", "left_semi").distinct().select("id", "bits", *as_longs(F.col("bits"), "x")), "named")
-    at_a = named.select(F.col("id").alias("a"), F.col("bits").alias("bits_a"), *[F.col(f"x{i}") for i in range(4)])
-    at_b = named.select(F.col("id").alias("b"), F.col("bits").alias("bits_b"), *[F.col(f"x{i}").alias(f"y{i}") for i in range(4)])
+    named = strings.select("id", "bits").join(ids, "id", "left_semi").distinct().select("id", *as_longs(F.col("bits"), "x"))
+    named = scratch.save(named, "named")
+    at_a = named.withColumnRenamed("id", "a")
+    at_b = named.select(F.col("id").alias("b"), *[F.col(f"x{i}").alias(f"y{i}") for i in range(4)])
     distance = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(4)), F.lit(0))
-    return pairs.join(at_a, "a").join(at_b, "b").select("bits_a", "bits_b", distance.alias("distance")).where(F.col("distance") <= k).distinct()
+    near = pairs.join(at_a, "a").join(at_b, "b").withColumn("distance", distance).where(F.col("distance") <= k)
+    bits = lambda x: F.unhex(F.concat(*[F.lpad(F.hex(f"{x}{i}"), 16, "0") for i in range(4)]))
+    return near.select(bits("x").alias("bits_a"), bits("y").alias("bits_b"), "distance").distinct()
