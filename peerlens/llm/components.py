@@ -1,17 +1,9 @@
 """Consolidating pairwise matches into groups.
 
-Deterministic Borůvka hooking.  In each round every component picks its
-smallest outgoing edge in one fixed total order of the edges, the trees this
-makes collapse to their roots by pointer doubling, and the edges are relabelled
-and deduplicated; it ends when no edge between different components is left.
-The order of the edges is a hash of their ends (then the ends themselves), so
-the trees are shallow also where the graph is one long chain, and two
-components can only pick each other through the same edge, so no longer cycle
-arises.
-
-A round leaves at most half of the components that had an edge, so a graph of n
-nodes needs at most log2(n) rounds.  All tables stay distributed; lineage is
-cut with tables in the shared folder.
+The graph is the photos' contents, linked by verdicts; its components are found
+by deterministic Borůvka hooking (``operators.components``): every component
+picks its smallest outgoing edge, the trees collapse by pointer doubling, and
+the edges are relabelled and deduplicated until none are left.
 """
 
 from __future__ import annotations
@@ -20,74 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.llm.photos import hash_key, photo_records, trimmed
+from peerlens.operators.components import connected_components
 from peerlens.operators.scratch import Scratch
-
-
-def _hooks(edges: DataFrame) -> DataFrame:
-    """(node, parent): every end of an edge under the other end of its smallest edge, roots under themselves.
-
-    The smallest edge is found by a minimum over three mutable numbers packed
-    in a struct; the map side keeps one entry per node, so a node with a third
-    of all edges sends one entry per task.
-    """
-    weight = F.xxhash64("u", "v")
-    ends = edges.select(F.explode(F.array(
-        F.struct(F.col("u").alias("node"), weight.alias("w"), F.col("u").alias("lo"), F.col("v").alias("other")),
-        F.struct(F.col("v").alias("node"), weight.alias("w"), F.col("u").alias("lo"), F.col("u").alias("other")),
-    )).alias("e")).select("e.*")
-    picked = ends.groupBy("node").agg(F.min(F.struct("w", "lo", "other")).alias("m")).select("node", F.col("m.other").alias("parent"))
-    # Two nodes that picked each other picked one edge: the smaller becomes the root.
-    back = picked.select(F.col("node").alias("parent"), F.col("parent").alias("back"))
-    return picked.join(back, "parent", "left").select(
-        "node", F.when((F.col("back") == F.col("node")) & (F.col("node") < F.col("parent")), F.col("node")).otherwise(F.col("parent")).alias("parent"),
-    )
-
-
-def _doubled(trees: DataFrame) -> DataFrame:
-    """(node, parent) with every pointer moved to the parent's parent."""
-    up = trees.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-    return trees.join(up, "parent").select("node", F.col("above").alias("parent"))
-
-
-def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
-    """(node, root) for every node with an edge to another node; ``root`` is one node of the component.
-
-    ``edges`` holds integer ends.  Repeated edges, either order, self edges and
-    null ends are allowed; the latter two link nothing.  No edges give an empty
-    table.  Columns other than ``a`` and ``b`` are ignored.
-    """
-    spark = edges.sparkSession
-    one = edges.select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-    live = scratch.save(one.where("_a is not null and _b is not null and u < v").select("u", "v").distinct(), "edges")
-    rounds: list[DataFrame] = []
-    while not live.isEmpty():
-        trees = scratch.save(_hooks(live), "hooks")
-        moving = True
-        while moving:
-            # Two doublings a job; where the second moves no pointer, all point at roots.
-            twice = _doubled(trees)
-            up = twice.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            again = twice.join(up, "parent").select("node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved"))
-            again = scratch.save(again, "trees")
-            moving = not again.where("moved").isEmpty()
-            scratch.drop(trees)
-            trees = again.drop("moved")
-            trees._scratch_path = again._scratch_path
-        rounds.append(trees)
-        to_u = trees.select(F.col("node").alias("u"), F.col("parent").alias("ru"))
-        to_v = trees.select(F.col("node").alias("v"), F.col("parent").alias("rv"))
-        moved = live.join(to_u, "u").join(to_v, "v").where("ru <> rv")
-        rest = scratch.save(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(), "edges")
-        scratch.drop(live)
-        live = rest
-    if not rounds:
-        return spark.createDataFrame([], "node long, root long")
-    # Later rounds hold only roots of earlier ones: compose from the last.
-    found = rounds[-1].select("node", F.col("parent").alias("root"))
-    for trees in reversed(rounds[:-1]):
-        above = found.select(F.col("node").alias("parent"), "root")
-        found = scratch.save(trees.join(above, "parent", "left").select("node", F.coalesce("root", "parent").alias("root")), "labels")
-    return found
+from peerlens.operators.skew import join_to_one
 
 
 def photo_groups(images: DataFrame, match_pairs: DataFrame) -> DataFrame:
@@ -108,10 +35,10 @@ def photo_groups(images: DataFrame, match_pairs: DataFrame) -> DataFrame:
     at_b = nodes.select(F.col("sha").alias("b"), F.col("node").alias("nb"))
     found = connected_components(agreed.join(at_a, "a").join(at_b, "b").select("na", "nb"), "na", "nb", scratch)
     least = found.groupBy("root").agg(F.min("node").alias("group_id"))
-    label = found.join(least, "root").select("node", "group_id")
+    label = join_to_one(found, least, ["root"], scratch).select("node", "group_id")
     grouped = nodes.join(label, "node", "left").where("size > 1 or group_id is not null")
-    grouped = grouped.select("sha", "node", F.coalesce("group_id", "node").alias("group_id"), "size")
+    grouped = scratch.save(grouped.select("sha", "node", F.coalesce("group_id", "node").alias("group_id"), "size"), "grouped")
     # A node of one record is that record; only shared hashes go back to the records.
     single = grouped.where("size = 1").select("group_id", F.col("node").alias("image_id"))
-    shared = grouped.where("size > 1").select("sha", "group_id").join(records, "sha").select("group_id", "image_id")
+    shared = join_to_one(records, grouped.where("size > 1").select("sha", "group_id"), ["sha"], scratch).select("group_id", "image_id")
     return single.unionByName(shared)

@@ -110,8 +110,8 @@ def near_sets(df: DataFrame, item: str, tokens: str, k: int) -> Near:
     named = df.where(F.col(item).isNotNull() & F.col(tokens).isNotNull()).select(F.col(item).alias("item"), marks.alias("set")).withColumn("class", F.xxhash64("set"))
     members = scratch.save(named.select("item", "class", "set"), "members")
     sets = inner.save(members.groupBy(F.col("class").alias("id")).agg(F.min("set").alias("set")), "sets")
-    sketched = inner.save(sets.mapInArrow(_sketched(_elements, sketch_bits(k)), "id long, sketch binary, size int"), "sketches")
-    pairs = _candidates(sketched, k, inner)
+    sketched = sets.mapInArrow(_sketched(_elements, sketch_bits(k)), "id long, sketch binary, size int")
+    pairs = _candidates(sketched, k, inner).distinct()
     at_a = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     at_b = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
     apart = F.size("sa") + F.size("sb") - 2 * F.size(F.array_intersect("sa", "sb"))
@@ -125,7 +125,8 @@ def near_fingerprints(records: DataFrame, k: int, scratch: Scratch) -> DataFrame
     """(bits_a, bits_b, distance) of every pair of different fingerprints (column ``bits``, 32 bytes) that differ in at most ``k`` bits."""
     inner = Scratch(records.sparkSession, "near-join")
     named = inner.save(records.where(F.col("bits").isNotNull()).select(F.xxhash64("bits").alias("id"), "bits").distinct(), "fingerprints")
-    sketched = inner.save(named.mapInArrow(_sketched(_set_bits, sketch_bits(k)), "id long, sketch binary, size int"), "sketches")
+    # Sketches are larger than the fingerprints, so they are made again where they are read.
+    sketched = named.mapInArrow(_sketched(_set_bits, sketch_bits(k)), "id long, sketch binary, size int")
     near = scratch.save(verified(_candidates(sketched, k, inner), named, k, inner), "near")
     inner.close()
     return near

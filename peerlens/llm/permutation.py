@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.internal import InternalFunction
 
+from peerlens.functions.aggregates import smallest
 from peerlens.operators.scratch import Scratch
 
 #: Nearest pivots kept of each vector, in order, and how many of them it is posted under: all, as neighbours are lost with each that is left out.
@@ -157,7 +157,7 @@ def nearest_vectors(
     rows = df.where(F.col(item).isNotNull() & usable(F.col(vec), dim)).select(F.col(item).cast("long").alias("item"), F.col(vec).cast("array<float>").alias("vec"))
     rows = rows.groupBy("item").agg(F.min("vec").alias("vec"))
     # One row per distinct vector, with its k + 1 smallest items: no item needs more of its copies than that.
-    reps = rows.groupBy("vec").agg(F.array_sort(InternalFunction.collect_top_k(F.col("item"), k + 1, True)).alias("ids"), F.count(F.lit(1)).alias("copies"))
+    reps = rows.groupBy("vec").agg(smallest(F.col("item"), k + 1).alias("ids"), F.count(F.lit(1)).alias("copies"))
     reps = scratch.save(reps.select(F.col("ids")[0].alias("rep"), "ids", "copies", "vec"), "reps")
     several = scratch.save(reps.where("copies > 1"), "several")
     n = reps.count()
@@ -192,7 +192,7 @@ def nearest_vectors(
     found = scratch.save(found, "found")
     # A neighbour comes from at most ``posts`` lists, so k * posts entries hold k different ones.
     entry = F.struct((-F.round("cos", 12)).alias("far"), F.col("other"), F.coalesce("other_ids", F.array("other")).alias("ids"))
-    merged = found.groupBy("rep").agg(InternalFunction.collect_top_k(entry, k * posts, True).alias("heap"))
+    merged = found.groupBy("rep").agg(smallest(entry, k * posts).alias("heap"))
     outside = merged.select("rep", F.slice(F.array_sort(F.array_distinct("heap")), 1, k).alias("heap"))
     outside = outside.select("rep", F.expr("flatten(transform(heap, e -> transform(e.ids, i -> struct(e.far AS far, i AS other))))").alias("outside"))
     # Copies come before all others; a class of more than k needs nobody else.

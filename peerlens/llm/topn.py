@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.internal import InternalFunction
+
+from peerlens.functions.aggregates import smallest
 
 _COMPLEMENT = ("0123456789ABCDEF", "FEDCBA9876543210")
 
@@ -75,7 +76,7 @@ def top_n_per_group(
     kinds = {f.name: f.dataType for f in df.select(*group, item, *keep, *[c for c, _ in order]).schema}
     keys = [ascending_key(F.col(c), kinds[c], how == "desc").alias(f"k{i}") for i, (c, how) in enumerate(order)]
     entry = F.struct(*keys, ascending_key(F.col(item), kinds[item], False).alias("id"), F.col(item).alias("item"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(keep)])
-    heaps = df.where(F.col(item).isNotNull()).groupBy(*group).agg(InternalFunction.collect_top_k(entry, n, True).alias("__heap"))
+    heaps = df.where(F.col(item).isNotNull()).groupBy(*group).agg(smallest(entry, n).alias("__heap"))
     # The final heap comes out unordered by contract; sorting at most n entries fixes the ranks.
     return heaps.select(*group, F.posexplode(F.array_sort("__heap")).alias("__pos", "__entry")).select(
         *group,
