@@ -30,8 +30,8 @@ from peerlens.llm.photos import photo_records
 from peerlens.operators.blocks import candidate_pairs, verified
 from peerlens.operators.scratch import Scratch
 
-#: Bits of a sketch for each of its blocks.
-BLOCK_BITS = 64
+#: Bits of each block of a sketch: enough that few of a block's tokens fold, as each that does makes more candidates.
+BLOCK_BITS = 256
 
 
 class Near(NamedTuple):
@@ -45,47 +45,68 @@ def sketch_bits(k: int) -> int:
     return BLOCK_BITS * (k + 1)
 
 
-def token_bits(tokens: np.ndarray, bits: int) -> np.ndarray:
-    """The sketch bit of each token, given as 64-bit numbers."""
+def _mixed(tokens: np.ndarray) -> np.ndarray:
     x = tokens.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return ((x ^ (x >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
+    return x ^ (x >> np.uint64(31))
 
 
-def sketches(tokens: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+def token_bits(tokens: np.ndarray, k: int, universe: int = 0) -> np.ndarray:
+    """The sketch bit of each token, given as 64-bit numbers: a block, and a hashed bit in it.
+
+    The block is hashed too; tokens below a small ``universe`` are dealt to the
+    blocks in the order of their hash, so that no block gets fewer than others.
+    """
+    x = _mixed(tokens)
+    block = x % np.uint64(k + 1)
+    if universe:
+        dealt = np.empty(universe, np.uint64)
+        dealt[np.argsort(_mixed(np.arange(universe)), kind="stable")] = np.arange(universe) % (k + 1)
+        block = dealt[tokens]
+    return (block * np.uint64(BLOCK_BITS) + (x >> np.uint64(20)) % np.uint64(BLOCK_BITS)).astype(np.int64)
+
+
+def sketches(tokens: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     """Packed parity sketches (record, byte) of sets, given as their tokens one after another and their sizes."""
-    at = np.repeat(np.arange(len(sizes)) * bits, sizes) + token_bits(tokens, bits)
+    bits = sketch_bits(k)
+    at = np.repeat(np.arange(len(sizes)) * bits, sizes) + token_bits(tokens, k)
     parity = np.bincount(at, minlength=len(sizes) * bits).astype(np.uint8) & 1
     return np.packbits(parity.reshape(len(sizes), bits), axis=1)
 
 
-def _sketched(tokens_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], bits: int, step: int = 2048):
+def bit_sketches(sets: np.ndarray, k: int) -> np.ndarray:
+    """The same of the rows of a 0/1 matrix (record, token)."""
+    out = np.zeros((sketch_bits(k), len(sets)), np.uint8)
+    for token, bit in enumerate(token_bits(np.arange(sets.shape[1]), k, sets.shape[1])):
+        out[bit] ^= sets[:, token]
+    return np.packbits(out.T, axis=1)
+
+
+def _of_elements(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.diff(column.offsets.to_numpy()).astype(np.int64)
+    return sketches(column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), sizes, k), sizes
+
+
+def _of_set_bits(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    sets = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1), axis=1)
+    return bit_sketches(sets, k), sets.sum(1, dtype=np.int64)
+
+
+def _sketched(sketch: Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]], k: int, step: int = 2048):
     """Rows (id, sketch, size) of rows (id, set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                tokens, sizes = tokens_of(part.column(1))
-                packed = sketches(tokens, sizes, bits)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.FixedSizeBinaryArray.from_buffers(pa.binary(packed.shape[1]), len(packed), [None, pa.py_buffer(packed.tobytes())]).cast(pa.binary()), pa.array(sizes.astype(np.int32))],
-                    names=["id", "sketch", "size"],
-                )
+                packed, sizes = sketch(part.column(1), k)
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(packed.shape[1]), len(packed), [None, pa.py_buffer(packed.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0), fixed.cast(pa.binary()), pa.array(sizes.astype(np.int32))], names=["id", "sketch", "size"])
 
     return run
 
 
-def _set_bits(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    sets = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1), axis=1)
-    return np.nonzero(sets)[1], sets.sum(1, dtype=np.int64)
-
-
-def _elements(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.diff(column.offsets.to_numpy()).astype(np.int64)
-
-
 def _candidates(sketched: DataFrame, k: int, scratch: Scratch) -> DataFrame:
     """(a, b) of the ids of ``sketched`` (id, sketch, size) that share a size band and a block of their sketches."""
     wide = 4 * max(k, 1)
@@ -110,7 +131,7 @@ def near_sets(df: DataFrame, item: str, tokens: str, k: int) -> Near:
     named = df.where(F.col(item).isNotNull() & F.col(tokens).isNotNull()).select(F.col(item).alias("item"), marks.alias("set")).withColumn("class", F.xxhash64("set"))
     members = scratch.save(named.select("item", "class", "set"), "members")
     sets = inner.save(members.groupBy(F.col("class").alias("id")).agg(F.min("set").alias("set")), "sets")
-    sketched = sets.mapInArrow(_sketched(_elements, sketch_bits(k)), "id long, sketch binary, size int")
+    sketched = sets.mapInArrow(_sketched(_of_elements, k), "id long, sketch binary, size int")
     pairs = _candidates(sketched, k, inner).distinct()
     at_a = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
     at_b = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
@@ -126,7 +147,7 @@ def near_fingerprints(records: DataFrame, k: int, scratch: Scratch) -> DataFrame
     inner = Scratch(records.sparkSession, "near-join")
     named = inner.save(records.where(F.col("bits").isNotNull()).select(F.xxhash64("bits").alias("id"), "bits").distinct(), "fingerprints")
     # Sketches are larger than the fingerprints, so they are made again where they are read.
-    sketched = named.mapInArrow(_sketched(_set_bits, sketch_bits(k)), "id long, sketch binary, size int")
+    sketched = named.mapInArrow(_sketched(_of_set_bits, k), "id long, sketch binary, size int")
     near = scratch.save(verified(_candidates(sketched, k, inner), named, k, inner), "near")
     inner.close()
     return near

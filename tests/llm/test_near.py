@@ -5,7 +5,7 @@ import pytest
 
 from peerlens.llm.increments import History, repeated_photos
 from peerlens.llm import paritysketch
-from peerlens.llm.paritysketch import near_sets, photo_pairs, sketch_bits, sketches, token_bits
+from peerlens.llm.paritysketch import BLOCK_BITS, bit_sketches, near_sets, photo_pairs, sketch_bits, sketches, token_bits
 from peerlens.llm.photos import photo_records
 from peerlens.operators.blocks import candidate_pairs, verified
 from peerlens.operators.scratch import Scratch
@@ -98,13 +98,18 @@ def test_hot_blocks_lose_nothing(spark, hot):
 def test_sketches_bound_the_difference():
     """Tokens fold onto fewer bits, and the distance of the sketches is never above the difference of the sets, and of its parity."""
     rng = np.random.default_rng(0)
-    for universe, bits in ((256, sketch_bits(8)), (5000, 128)):
-        assert len(set(token_bits(np.arange(universe), bits).tolist())) < universe
-        sets = [np.flatnonzero(rng.random(universe) < 0.4) for _ in range(40)]
-        packed = np.unpackbits(sketches(np.concatenate(sets), np.array([len(s) for s in sets]), bits), axis=1)
-        for i in range(0, 40, 2):
-            apart, shown = len(set(sets[i]) ^ set(sets[i + 1])), int((packed[i] ^ packed[i + 1]).sum())
-            assert shown <= apart and (apart - shown) % 2 == 0
+    for universe, k in ((256, 8), (5000, 2)):
+        every = np.arange(universe)
+        for bits in (token_bits(every, k), token_bits(every, k, universe)):
+            assert len(set(bits.tolist())) < universe and bits.max() < sketch_bits(k)
+        member = (rng.random((40, universe)) < 0.4).astype(np.uint8)
+        dealt = np.bincount(token_bits(every, k, universe) // BLOCK_BITS)
+        assert dealt.max() - dealt.min() <= 1
+        flat = sketches(np.nonzero(member)[1], member.sum(1, dtype=np.int64), k)
+        for packed in (np.unpackbits(flat, axis=1), np.unpackbits(bit_sketches(member, k), axis=1)):
+            for i in range(0, 40, 2):
+                apart, shown = int((member[i] ^ member[i + 1]).sum()), int((packed[i] ^ packed[i + 1]).sum())
+                assert shown <= apart and (apart - shown) % 2 == 0
 
 
 def test_texts_with_insertions_and_reordering(spark):
