@@ -45,13 +45,23 @@ def gray(bgr: np.ndarray) -> np.ndarray:
     return bgr[:, :, :3].astype(np.float64) @ np.array([0.114, 0.587, 0.299])
 
 
-def dhash(pixels: np.ndarray, size: int = 16) -> bytes:
-    """Whether each pixel is brighter than its left neighbour, of the image at (size + 1) x size; row by row, high bit first."""
-    small = np.rint(resized(pixels, size, size + 1))
+def turned(pixels: np.ndarray, orientation: int) -> np.ndarray:
+    """The image as it is to be seen: mirrored and transposed as its orientation (1 to 8) says."""
+    if orientation >= 5:
+        pixels = pixels.T
+    if orientation in (3, 4, 7, 8):
+        pixels = pixels[::-1]
+    return pixels[:, ::-1] if orientation in (2, 3, 6, 7) else pixels
+
+
+def dhash(pixels: np.ndarray, size: int = 16, orientation: int = 1) -> bytes:
+    """Whether each pixel is brighter than its left neighbour, of the turned image at (size + 1) x size; row by row, high bit first."""
+    shape = (size + 1, size) if orientation >= 5 else (size, size + 1)
+    small = turned(np.rint(resized(pixels, *shape)), orientation)
     return np.packbits(small[:, 1:] > small[:, :-1]).tobytes()
 
 
-def phash(pixels: np.ndarray) -> np.ndarray:
+def phash(pixels: np.ndarray, orientation: int = 1) -> np.ndarray:
     """64 values of ±1/8: whether each low-frequency cosine coefficient of the 32 x 32 image is above their median.
 
     The cosine of two such vectors is 1 - 2 * (differing bits) / 64.
@@ -59,5 +69,5 @@ def phash(pixels: np.ndarray) -> np.ndarray:
     n = 32
     k = np.arange(n)
     basis = np.sqrt(np.where(k == 0, 1, 2) / n)[:, None] * np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / (2 * n))
-    low = (basis @ resized(pixels, n, n) @ basis.T)[:8, :8].ravel()
+    low = (basis @ turned(resized(pixels, n, n), orientation) @ basis.T)[:8, :8].ravel()
     return np.where(low > np.median(low), 0.125, -0.125)

@@ -28,7 +28,9 @@ class Prepared:
     copies: DataFrame  # grp, item, root, rep, is_rep, size
     reps: DataFrame  # grp, item, sha, vec
     scores: DataFrame  # grp, item, n_peers, s, median_s, n_scored, mad, z
+    samples: DataFrame | None = None  # side, x: what an audit was calibrated on
     geom: calibrate.Ratio | None = None  # the calibration of geometric evidence, where the audit had features
+    drawn: DataFrame | None = None  # side, x, inliers: what that was calibrated on
 
 
 def prepare(items: DataFrame, vectors: DataFrame, cfg: Config, scratch: Scratch) -> Prepared:
@@ -57,12 +59,17 @@ def samples(reps: DataFrame, scores: DataFrame, cfg: Config, seed: int | None =
     Groups of two items or more take part; each is held against one other.
     """
     at_home = scores.where((F.col("n_scored") >= 2) & F.col("s").isNotNull() & (F.col("z") >= -cfg.gate.z_thresh))
+    asking, foreign = foreign_peers(reps, scores, cfg, seed)
+    against = consensus.consensus(asking, foreign, cfg.consensus)
+    return at_home.select(F.lit("pos").alias("side"), F.col("s").alias("x")).unionByName(against.where("s is not null").select(F.lit("neg").alias("side"), F.col("s").alias("x")))
+
+
+def foreign_peers(reps: DataFrame, scores: DataFrame, cfg: Config, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(grp, item, vec, …) of the groups of two items or more, and (grp, item, vec) of the group that each of them is held against."""
     groups = scores.where("n_scored >= 2").select("grp").distinct()
     drawn = calibrate.donors(groups, cfg.seed if seed is None else seed)
-    asking = reps.join(groups, "grp", "left_semi")
     foreign = drawn.join(reps.withColumnRenamed("grp", "donor"), "donor").select("grp", "item", "vec")
-    against = consensus.consensus(asking, foreign, cfg.consensus)
-    return at_home.select(F.lit("pos").alias("side"), F.col("s").alias("x")).unionByName(against.where("s is not null").select(F.lit("neg").alias("side"), F.col("s").alias("x")))
+    return reps.join(groups, "grp", "left_semi"), foreign
 
 
 def gate(reps: DataFrame, scores: DataFrame, ratio: calibrate.Ratio, cfg: Config, scratch: Scratch, seen: DataFrame | None = None, geom: calibrate.Ratio | None = None) -> DataFrame:
@@ -187,11 +194,12 @@ def audit(items: DataFrame, vectors: DataFrame, cfg: Config | None = None, scrat
     cfg = cfg or Config()
     scratch = scratch or Scratch(items.sparkSession, "audit")
     ready = prepare(items, vectors, cfg, scratch)
-    ratio = calibrate.fit(samples(ready.reps, ready.scores, cfg), cfg.gate.prior_outlier_rate)
+    ready.samples = scratch.save(samples(ready.reps, ready.scores, cfg), "samples")
+    ratio = calibrate.fit(ready.samples, cfg.gate.prior_outlier_rate)
     seen = geom = None
     if features is not None and cfg.geometry.enabled:
-        drawn = scratch.save(geometry_samples(ready.reps, ready.scores, features, cfg, scratch), "geometry-samples")
-        ready.geom = geom = calibrate.fit(drawn, cfg.gate.prior_outlier_rate)
+        ready.drawn = scratch.save(geometry_samples(ready.reps, ready.scores, features, cfg, scratch), "geometry-samples")
+        ready.geom = geom = calibrate.fit(ready.drawn, cfg.gate.prior_outlier_rate)
         seen = scratch.save(seen_by_candidates(ready.reps, ready.scores, ratio, features, cfg), "inliers")
     gated = scratch.save(gate(ready.reps, ready.scores, ratio, cfg, scratch, seen, geom), "gated")
     decided = resolve(ready, gated, cfg)

@@ -39,3 +39,13 @@ def copy_counts(items: DataFrame, copies: DataFrame) -> DataFrame:
     ]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return rows.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("exact", "near", "cross", "unreadable")])
+
+
+def file_counts(files: DataFrame) -> DataFrame:
+    """(n_resolutions, min_kb, median_kb, max_kb, with_exif, with_date, with_gps) of the files of ``sources.images.images``; a kilobyte is 1,024 bytes, cut down."""
+    kb = F.floor(F.col("size") / 1024)
+    readable = F.coalesce("readable", F.lit(False))
+    return files.agg(
+        F.count_distinct(F.when(readable, F.struct("width", "height"))).alias("n_resolutions"), F.min(kb).alias("min_kb"), F.median(kb).alias("median_kb"), F.max(kb).alias("max_kb"),
+        *[F.count_if(readable & F.col(c)).alias(f"with_{c[4:]}") for c in ("has_exif", "has_date", "has_gps")],
+    )

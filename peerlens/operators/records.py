@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import json
 
 from pyspark.sql import DataFrame
@@ -78,25 +77,6 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_html(decided: DataFrame, path: str, max_rows: int = 300, peers: DataFrame | None = None) -> None:
-    """A page of the ``max_rows`` most suspicious flagged items, with the nearest peers (grp, item, rank, peer) of each."""
-    top = decided.where("flagged").orderBy(F.col("suspicion").desc_nulls_last(), "grp", "item").limit(max_rows)
-    if peers is not None:
-        near = peers.where("rank <= 2").groupBy("grp", "item").agg(F.array_sort(F.collect_list(F.struct("rank", "peer"))).alias("n"))
-        top = top.join(near, ["grp", "item"], "left").withColumn("near", F.array_join(F.transform("n", lambda x: x["peer"]), ", "))
-    else:
-        top = top.withColumn("near", F.lit(""))
-    rows = top.select("grp", "item", "kind", "suspicion", "reason", "near").orderBy(F.col("suspicion").desc_nulls_last(), "grp", "item").collect()
-    cells = "\n".join("<tr>" + "".join(f"<td>{html.escape('' if x is None else f'{x:.4f}' if isinstance(x, float) else str(x))}</td>" for x in r) + "</tr>" for r in rows)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("<!doctype html><meta charset='utf-8'><title>Flagged items</title><table border=1><tr><th>group<th>item<th>kind<th>suspicion<th>reason<th>nearest peers</tr>\n" + cells + "\n</table>\n")
-
-
-def thumbnail(content, max_bytes: int = 65536):
-    """The bytes as a data address where they are few enough, else empty."""
-    return F.when(F.length(content) <= max_bytes, F.concat(F.lit("data:image/*;base64,"), F.base64(content))).otherwise("")
-
-
 def pr_markdown(table: list, beta: float) -> str:
     """A Markdown table of rows with threshold, n_flagged, precision, recall, f1 and f_beta."""
     head = f"| threshold | flagged | precision | recall | F1 | F{beta:g} |\n|-|-|-|-|-|-|\n"

@@ -14,7 +14,7 @@ from peerlens.config import Config, Consensus
 from peerlens.functions import text
 from peerlens.functions.hashing import content_hash
 from peerlens.functions.vectors import length, unit
-from peerlens.operators import calibrate, consensus, decide, duplicates, explain, geometry, harness, profile, ranking, records
+from peerlens.operators import calibrate, consensus, decide, documents, duplicates, explain, geometry, harness, profile, ranking, records
 from peerlens.operators.scratch import Scratch
 from peerlens.plans import fragments as q
 from peerlens.sources.cache import missing
@@ -256,6 +256,17 @@ def pair_quantiles(spark, sf_dir):
     return spark.createDataFrame(sorted(found.items()), "at double, value double").select("at", _r("value"))
 
 
+@_query("WITH " + ",\n".join([q.EMB, q.SCORED, q.DONORS]) + ", apart AS (SELECT list_inner_product(i.vec, o.vec) AS cos FROM items i JOIN donor d ON d.grp = i.grp JOIN items o ON o.grp = d.donor) " + " UNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS at, round(quantile_cont(cos, {p}), 5) AS value FROM apart" for p in (0.05, 0.25, 0.5, 0.75, 0.95)
+))
+def cross_pair_quantiles(spark, sf_dir):
+    """Of the similarities of all items to those of the group that theirs is held against."""
+    items, scores, _ = _stored_scores(spark, sf_dir, "cross-pairs")
+    asking, foreign = decide.foreign_peers(items, scores, CFG)
+    found = consensus.pair_quantiles(asking, list(documents.AT), foreign)
+    return spark.createDataFrame(sorted(found.items()), "at double, value double").select("at", _r("value"))
+
+
 def _ratio(spark: SparkSession, sf_dir: str, name: str):
     items, scores, scratch = _stored_scores(spark, sf_dir, name)
     return items, scores, scratch, calibrate.fit(decide.samples(items, scores, CFG), CFG.gate.prior_outlier_rate)
@@ -338,8 +349,7 @@ def flagged_reasons(spark, sf_dir):
   round(max(m.median_s), 3) AS folder_median_consensus, coalesce(max(m.n_scored) >= 3 AND max(m.median_s) < 0.45, false) AS review_folder
 FROM ranked r LEFT JOIN med m ON m.grp = r.grp GROUP BY r.grp""")
 def outlet_records(spark, sf_dir):
-    decided, ready, ratio, _ = _audited(spark, sf_dir, "records")
-    decided = decided.withColumn("reason", F.when(F.col("flagged"), explain.reason(ratio.floor(CFG.gate.p_thresh), ratio.support_floor)))
+    decided, ready, *_ = _explained(spark, sf_dir, "records")
     rows = records.group_records(decided, consensus.folders(ready.scores, CFG.gate))
     return rows.select(
         "outlet_id", "piece", "total_images", F.size("flagged_images").alias("n_flagged"), F.array_join(F.transform("flagged_images", lambda x: x["file_name"]), "|").alias("flagged_images"),
@@ -347,10 +357,62 @@ def outlet_records(spark, sf_dir):
     )
 
 
-@_query(q.AUDIT + " SELECT grp AS outlet_id, item AS file_name, CAST(rank AS INTEGER) AS rank, CAST(flagged AS INTEGER) AS flagged, kind, CASE WHEN s IS NULL THEN 'nan' ELSE format('{:.3f}', s) END AS consensus FROM ranked")
+def _explained(spark: SparkSession, sf_dir: str, name: str):
+    decided, ready, ratio, scratch = _audited(spark, sf_dir, name)
+    decided = decided.withColumn("reason", F.when(F.col("flagged"), explain.reason(ratio.floor(CFG.gate.p_thresh), ratio.support_floor)))
+    return decided, ready, ratio, scratch
+
+
+_NAN = "CASE WHEN {0} IS NULL THEN 'nan' ELSE format('{{:.{1}f}}', {0}) END"
+
+
+@_query(q.AUDIT + f""" SELECT grp AS outlet_id, item AS file_name, CAST(rank AS INTEGER) AS rank, {_NAN.format('suspicion', 4)} AS suspicion_score, CAST(flagged AS INTEGER) AS flagged, kind,
+  {_NAN.format('s', 3)} AS consensus, {_NAN.format('z', 2)} AS z, CASE WHEN flagged THEN coalesce({_REASON}, {_NUMBERS}) ELSE '' END AS reason FROM ranked, floors""")
 def image_rows(spark, sf_dir):
-    decided, *_ = _audited(spark, sf_dir, "rows")
-    return records.item_rows(decided.withColumn("reason", F.lit(""))).select("outlet_id", "file_name", "rank", "flagged", "kind", "consensus")
+    return records.item_rows(_explained(spark, sf_dir, "rows")[0])
+
+
+@_query(q.AUDIT + f""", told AS (SELECT grp, item, rank, flagged, round(suspicion, 4) AS score, coalesce({_REASON}, {_NUMBERS}) AS reason FROM ranked, floors)
+SELECT t.grp AS outlet_id, 0 AS piece, CAST(count(*) AS INTEGER) AS total_images, CAST(count(*) FILTER (WHERE flagged) AS INTEGER) AS n_flagged,
+  coalesce(CAST(to_json(list({{'file_name': item, 'suspicion_score': score, 'reason': reason}} ORDER BY rank) FILTER (WHERE flagged)) AS VARCHAR), '[]') AS flagged_images,
+  CAST(to_json(list(item ORDER BY rank)) AS VARCHAR) AS ranking, coalesce(CAST(round(max(m.median_s), 3) AS VARCHAR), '') AS folder_median_consensus,
+  CAST(coalesce(max(m.n_scored) >= 3 AND max(m.median_s) < 0.45, false) AS INTEGER) AS review_folder
+FROM told t LEFT JOIN med m ON m.grp = t.grp GROUP BY t.grp""")
+def csv_records(spark, sf_dir):
+    decided, ready, *_ = _explained(spark, sf_dir, "csv")
+    return records.csv_records(records.group_records(decided, consensus.folders(ready.scores, CFG.gate)))
+
+
+_AT = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+def _each(name: str, value: str, rows: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}.{p}' AS name, round(quantile_cont({value}, {p}), 3) AS value FROM {rows}" for p in _AT)
+
+
+@_query(q.AUDIT + ", apart AS (SELECT list_inner_product(i.vec, o.vec) AS cos FROM items i JOIN donor d ON d.grp = i.grp JOIN items o ON o.grp = d.donor) " + " UNION ALL ".join([
+    "SELECT 'n_legit' AS name, CAST(count(*) AS DOUBLE) AS value FROM sample WHERE side = 'pos'", "SELECT 'n_foreign', count(*) FROM sample WHERE side = 'neg'",
+    "SELECT 'floor', round(floor, 5) FROM floors", "SELECT 'support_floor', round(support_floor, 5) FROM floors", "SELECT 'p_thresh', 0.3",
+    _each("legit_consensus_quantiles", "x", "sample WHERE side = 'pos'"), _each("foreign_consensus_quantiles", "x", "sample WHERE side = 'neg'"),
+    _each("within_pair_quantiles", "cos", "pair WHERE i < j"), _each("cross_pair_quantiles", "cos", "apart"),
+    "SELECT 'flag_summary.n_flagged', count(*) FROM ranked WHERE flagged", "SELECT 'flag_summary.n_outlets_with_flags', count(DISTINCT grp) FROM ranked WHERE flagged",
+    "SELECT 'flag_summary.by_kind.' || kind, count(*) FROM ranked WHERE flagged GROUP BY kind",
+]))
+def calibration_document(spark, sf_dir):
+    """The numbers of the calibration document of an audit of the images, one a row."""
+    decided, ready, ratio, scratch = _audited(spark, sf_dir, "calibration")
+    found = documents.calibration(ready, ratio, CFG, scratch) | {"flag_summary": documents.flags(decided)}
+    rows: list[tuple[str, float]] = []
+
+    def flat(prefix: str, part: dict) -> None:
+        for key, value in part.items():
+            if isinstance(value, dict):
+                flat(f"{prefix}{key}.", value)
+            elif not isinstance(value, str):
+                rows.append((prefix + key, round(float(value), 5)))
+
+    flat("", found)
+    return spark.createDataFrame(rows, "name string, value double")
 
 
 @_query(q.AUDIT + " SELECT coalesce(kind, 'all') AS kind, count(*) AS n_flagged, count(DISTINCT grp) AS n_groups FROM ranked WHERE flagged GROUP BY GROUPING SETS ((kind), ())")
@@ -374,11 +436,27 @@ def text_snippets(spark, sf_dir):
     return _texts(spark, sf_dir).select("item", text.snippet(F.col("texts")).alias("snippet"))
 
 
-@_query(r"""WITH d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
-w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(array_to_string(string_split(text, chr(10))[1:3], ' ')), '[\s\x0b[:punct:]।॥]+')) AS t FROM d)
-SELECT d.doc_id AS item, CAST(count(DISTINCT t) FILTER (WHERE length(t) >= 2) AS INTEGER) AS n_tokens FROM d LEFT JOIN w ON w.doc_id = d.doc_id GROUP BY d.doc_id""")
+_TOKENS = r"""d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[\s\x0b[:punct:]।॥]+')) AS t FROM d)"""
+
+
+@_query("WITH " + _TOKENS + " SELECT d.doc_id AS item, CAST(count(DISTINCT t) FILTER (WHERE length(t) >= 2) AS INTEGER) AS n_tokens FROM d LEFT JOIN w ON w.doc_id = d.doc_id GROUP BY d.doc_id")
 def text_tokens(spark, sf_dir):
-    return _texts(spark, sf_dir).select("item", F.size(text.tokens(F.col("texts"), 0.3)).alias("n_tokens"))
+    """Of all lines of every document, whatever their confidence."""
+    return _texts(spark, sf_dir).select("item", F.size(text.tokens(F.col("texts"), 0.0)).alias("n_tokens"))
+
+
+@_query("""WITH d AS (SELECT outlet AS grp, doc_id AS item, CAST(n_chars AS DOUBLE) AS s FROM documents WHERE text IS NOT NULL AND outlet IS NOT NULL AND n_chars IS NOT NULL),
+lead AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY s DESC, item) AS r FROM d),
+near AS (SELECT a.grp, a.item, b.item AS peer, row_number() OVER (PARTITION BY a.grp, a.item ORDER BY b.r) AS r FROM d a JOIN lead b ON a.grp = b.grp AND a.item <> b.item AND b.r <= 6)
+SELECT grp, item, string_agg(CAST(peer AS VARCHAR), ',' ORDER BY r) AS peers FROM near WHERE r <= 5 GROUP BY grp, item""")
+def ocr_peers(spark, sf_dir):
+    """The five most typical other items of each group whose text stands beside an item's; here the longest documents are the most typical."""
+    rows = _table(spark, sf_dir, "documents").where("text is not null and outlet is not null and n_chars is not null")
+    rows = rows.select(F.col("outlet").alias("grp"), F.col("doc_id").alias("item"), F.col("n_chars").cast("double").alias("s"))
+    named = rows.select("grp", "item", F.array(F.struct(F.col("item").cast("string").alias("text"), F.lit(1.0).alias("conf"))).alias("texts"))
+    found = explain.peer_text(rows, named, CFG.ocr.peers)
+    return found.select("grp", "item", F.array_join(F.transform("texts", lambda x: x["text"]), ",").alias("peers"))
 
 
 @_query("""WITH d AS (SELECT outlet AS grp, doc_id AS item, coalesce(source, 'none') AS label FROM documents WHERE outlet IS NOT NULL),
@@ -458,7 +536,7 @@ def hard_donors(spark, sf_dir):
 
 
 @_query("WITH " + ",\n".join([q.EMB, q.SCORED, q.DONORS]) + """
-, target AS (SELECT grp FROM ring ORDER BY sha256('0|target|' || grp), grp LIMIT 5),
+, target AS (SELECT grp FROM (SELECT grp, n, row_number() OVER (ORDER BY sha256('0|target|' || grp), grp) AS r FROM ring) WHERE r <= greatest(1, round_even(n * 0.5, 0))),
 easy AS (SELECT grp, row_number() OVER (ORDER BY sha256('0|easy|' || grp), grp) AS r, count(*) OVER () AS n FROM ring),
 pick AS (SELECT a.grp, b.grp AS donor FROM easy a JOIN easy b ON b.r = a.r % a.n + 1 WHERE a.grp IN (SELECT grp FROM target))
 SELECT p.grp, '__inj__' || p.donor || '__' || arg_min(i.item, sha256('0|plant|' || p.grp || '|' || p.donor || '|' || i.item)) AS item FROM pick p JOIN items i ON i.grp = p.donor GROUP BY p.grp, p.donor""")
@@ -478,8 +556,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("kind", F.nanvl("suspicion", F.lit(None).cast("double")).alias("score"), F.coalesce("flagged", F.lit(False)).alias("label"), F.coalesce(F.col("z") < -1.0, F.lit(False)).alias("candidate"))
 
 
-_LABELLED = "rows AS (SELECT kind, CASE WHEN isnan(suspicion) THEN NULL ELSE suspicion END AS score, coalesce(flagged, false) AS label, CASE WHEN isnan(z) THEN true ELSE coalesce(z < -1, false) END AS candidate FROM image_evals WHERE kind IS NOT NULL)"
-_LABELLED = _LABELLED.replace("CASE WHEN isnan(z) THEN true ELSE coalesce(z < -1, false) END", "coalesce(z < -1, false)")
+_LABELLED = "rows AS (SELECT kind, CASE WHEN isnan(suspicion) THEN NULL ELSE suspicion END AS score, coalesce(flagged, false) AS label, coalesce(z < -1, false) AS candidate FROM image_evals WHERE kind IS NOT NULL)"
 
 
 def _threshold_sql() -> str:
@@ -508,6 +585,20 @@ def average_precision(spark, sf_dir):
     return harness.average_precision(_labelled(spark, sf_dir), ["kind"]).select("kind", _r("ap", 6))
 
 
+@_query(f"""WITH {_LABELLED}, pool AS (SELECT * FROM rows UNION ALL SELECT 'all', score, label, candidate FROM rows),
+k AS (SELECT kind, count(*) AS n_scored, count(*) FILTER (WHERE label) AS n_foreign FROM pool GROUP BY kind),
+s AS (SELECT kind, 'raw' AS how, score AS x, label FROM pool WHERE score IS NOT NULL UNION ALL SELECT kind, 'gated', CASE WHEN candidate THEN coalesce(score, 0) ELSE 0 END, label FROM pool),
+g AS (SELECT kind, how, x, count(*) AS n, count(*) FILTER (WHERE label) AS pos FROM s GROUP BY kind, how, x),
+r AS (SELECT *, sum(n) OVER w AS seen, sum(pos) OVER w AS found FROM g WINDOW w AS (PARTITION BY kind, how ORDER BY x DESC)),
+ap AS (SELECT kind, how, CASE WHEN sum(pos) > 0 THEN sum(pos * found / seen::DOUBLE) / sum(pos) ELSE 0 END AS ap FROM r GROUP BY kind, how)
+SELECT CAST(2.5 AS DOUBLE) AS z, k.kind AS pool, k.n_scored, k.n_foreign, round(coalesce(a.ap, 0), 6) AS ap_raw, round(coalesce(b.ap, 0), 6) AS ap_gated
+FROM k LEFT JOIN ap a ON a.kind = k.kind AND a.how = 'raw' LEFT JOIN ap b ON b.kind = k.kind AND b.how = 'gated'""")
+def evaluation_runs(spark, sf_dir):
+    """Sizes and average precisions of runs, with and without the gate; the stored evaluations are the runs, their kind the mode."""
+    rows = _labelled(spark, sf_dir).withColumnRenamed("kind", "mode").withColumn("z", F.lit(2.5))
+    return documents.run_summary(harness.pooled(rows)).select("z", "pool", "n_scored", "n_foreign", _r("ap_raw", 6), _r("ap_gated", 6))
+
+
 @_query()
 def harness_pooled(spark, sf_dir):
     """The transplant harness over all z, seeds and modes; iterative, so there is no SQL for it."""

@@ -89,4 +89,25 @@ def test_command_line(spark, folder, tmp_path, capsys):
     from peerlens import cli
 
     cli.main(["profile", "--data", folder])
-    assert '"n_groups": 2' in capsys.readouterr().out
+    out = capsys.readouterr().out
+    assert '"n_groups": 2' in out and '"n_resolutions": 1' in out and '"30x40"' in out and '"first_unreadable": ["g/bad.jpg"]' in out and '"with_exif": 0' in out
+
+
+def test_exif_and_orientation():
+    from peerlens.functions.exif import exif
+    from peerlens.functions.hashing import dhash, phash, turned
+
+    def jpeg(order, *entries):
+        head = b"II*\0" if order == "<" else b"MM\0*"
+        body = head + struct.pack(order + "IH", 8, len(entries)) + b"".join(struct.pack(order + "HHI", t, 3, 1) + struct.pack(order + "H", v) + b"\0\0" for t, v in entries)
+        return b"\xff\xd8\xff\xe0\0\x04ab\xff\xe1" + struct.pack(">H", len(body) + 8) + b"Exif\0\0" + body + b"\xff\xd9"
+
+    assert exif(jpeg("<", (0x0112, 6))) == (6, True, False, False) and exif(jpeg(">", (0x0112, 3), (0x0132, 1), (0x8825, 1))) == (3, True, True, True)
+    for nothing in (b"", b"\xff\xd8", b"\x89PNG", jpeg("<", (0x0112, 99))[:-9], b"\xff\xd8\xff\xe1\0\x0aExif\0\0"):
+        assert exif(nothing)[0] == 1
+    a = np.arange(6).reshape(2, 3)
+    want = {1: a, 2: np.fliplr(a), 3: np.rot90(a, 2), 4: np.flipud(a), 5: a.T, 6: np.rot90(a, -1), 7: np.rot90(a, 2).T, 8: np.rot90(a)}
+    assert all((turned(a, o) == want[o]).all() for o in want)
+    image = np.random.default_rng(1).integers(0, 255, (50, 70)).astype(float)
+    for o in range(1, 9):
+        assert dhash(image, orientation=o) == dhash(turned(image, o)) and np.allclose(phash(image, o), phash(turned(image, o)))
