@@ -8,7 +8,9 @@ cosine, and the neighbours found in a vector's lists merge in one bounded heap.
 
 Pivots are vectors of the collection drawn by a hash of their ids, so where the
 collection is dense there are more of them, and their number follows the number
-of vectors; lists stay short.  A list that is long all the same is split: its
+of vectors; lists stay short.  Many pivots are in cells of two levels, and a
+vector looks at those in its nearest cells, so what it is compared with grows
+with the root of their number.  A list that is long all the same is split: its
 vectors get blocks, and each pair of blocks is a list of its own, with the one
 as queries and the other as targets, which loses nothing.
 
@@ -26,11 +28,14 @@ from pyspark.sql import functions as F
 
 from peerlens.functions.aggregates import smallest
 from peerlens.operators.scratch import Scratch
+from peerlens.operators.skew import join_to_one
 
 #: Nearest pivots kept of each vector, in order, and how many of them it is posted under: all, as neighbours are lost with each that is left out.
 PREFIX, POSTS = 6, 6
-#: One pivot for so many vectors, between the two bounds; the upper one bounds what is broadcast (4 MB at 64 dimensions).
-PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 64, 64, 16384
+#: One pivot for so many vectors, between the two bounds; the upper one bounds what is broadcast (64 MB at 64 dimensions).
+PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 64, 64, 1 << 18
+#: Up to so many pivots are all compared; more are looked for in so many of the nearest cells.
+FLAT, CELLS = 4096, 16
 #: Of each list, so many go from the footrule ranking to the exact rerank (and all that tie with the last).
 RERANK = 128
 #: Vectors in a list before it is split.
@@ -50,12 +55,60 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def nearest_pivots(v: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The ``prefix`` pivots of greatest cosine of each row, in order; equal ones by their number."""
+class Pivots:
+    """Pivots of length one in cells, each cell the pivots that are nearest to one of its centres.
+
+    Centres are the first pivots, which are drawn at random, as many as make
+    the cells about as large as their number is; where pivots are few there is
+    one cell.
+    """
+
+    def __init__(self, vectors: np.ndarray, flat: int = FLAT):
+        self.vectors = vectors
+        n = len(vectors)
+        self.centres = vectors[: 1 if n <= flat else int(np.ceil(np.sqrt(n)) * 2)]
+        cell = np.concatenate([(vectors[i : i + 8192] @ self.centres.T).argmax(1) for i in range(0, n, 8192)])
+        self.order = np.argsort(cell, kind="stable")
+        self.begin = np.searchsorted(cell[self.order], np.arange(len(self.centres) + 1))
+
+    def nearest(self, v: np.ndarray, prefix: int, cells: int = CELLS) -> np.ndarray:
+        """The ``prefix`` pivots of greatest cosine of each row, in order, equal ones by their number; of the pivots in the cells nearest to it."""
+        v = v.astype(np.float32)
+        if len(self.centres) <= cells:
+            return _best(v, self.vectors, prefix)
+        sim = v @ self.centres.T
+        near = np.argpartition(-sim, cells - 1, axis=1)[:, :cells]
+        where = np.argsort(near, axis=None, kind="stable")
+        rows, which = where // cells, near.ravel()[where]
+        cuts = np.searchsorted(which, np.arange(len(self.centres) + 1))
+        owner, pivot, cos = [], [], []
+        for c in np.unique(which):
+            mine, held = rows[cuts[c] : cuts[c + 1]], self.order[self.begin[c] : self.begin[c + 1]]
+            if not len(held):
+                continue
+            some = min(prefix, len(held))
+            at = _best(v[mine], self.vectors[held], some)
+            owner.append(np.repeat(mine, some))
+            pivot.append(held[at].ravel())
+            cos.append(np.einsum("ij,ikj->ik", v[mine], self.vectors[held][at]).ravel())
+        owner, pivot, cos = np.concatenate(owner), np.concatenate(pivot), np.concatenate(cos)
+        best = np.lexsort((pivot, -cos, owner))
+        owner, pivot = owner[best], pivot[best]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        out = np.full((len(v), prefix), -1, np.int32)
+        out[owner[place < prefix], place[place < prefix]] = pivot[place < prefix]
+        # Rows whose cells hold too few pivots look at all.
+        if (few := (out < 0).any(1)).any():
+            out[few] = _best(v[few], self.vectors, prefix)
+        return out
+
+
+def _best(v: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+    """The ``prefix`` of all ``pivots`` of greatest cosine of each row, in order; equal ones by their number."""
     out = np.empty((len(v), prefix), np.int32)
     step = max(1, 2**23 // max(1, len(pivots)))
     for at in range(0, len(v), step):
-        sim = v[at : at + step].astype(np.float32) @ pivots.T
+        sim = v[at : at + step] @ pivots.T
         if prefix < len(pivots):
             best = np.argpartition(-sim, prefix - 1, axis=1)[:, :prefix]
         else:
@@ -83,29 +136,29 @@ def footrule_closeness(order: np.ndarray) -> np.ndarray:
     return close
 
 
-def _posted(pivots_b, prefix: int, posts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _posted(pivots_b, prefix: int, posts: int, width: str, flat: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = pivots_b.value
+        pivots = Pivots(pivots_b.value, flat)
         for batch in batches:
             if not batch.num_rows:
                 continue
             raw = np.stack(batch.column("vec").to_numpy(zero_copy_only=False)).astype(np.float32)
-            order = nearest_pivots(_unit(raw), pivots, prefix)
+            order = pivots.nearest(_unit(raw), prefix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), batch.column("ids"), batch.column("copies"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order[:, :posts]), pa.list_(pa.int32())), pa.array([r.tobytes() for r in order.astype(np.int16)], pa.binary())],
+                [batch.column("rep"), batch.column("ids"), batch.column("copies"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(list(order[:, :posts]), pa.list_(pa.int32())), pa.array([r.tobytes() for r in order.astype(width)], pa.binary())],
                 names=["rep", "ids", "copies", "raw", "pivots", "ordered"],
             )
 
     return run
 
 
-def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Table]:
+def _searched(k: int, least: float, rerank: int, width: str) -> Callable[[pa.Table], pa.Table]:
     """The k best of its list for each query of the list, from ``least`` cosine on."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("rep")
         n = table.num_rows
-        order = np.frombuffer(b"".join(table.column("ordered").to_pylist()), np.int16).reshape(n, -1)
+        order = np.frombuffer(b"".join(table.column("ordered").to_pylist()), width).reshape(n, -1)
         v = _unit(np.frombuffer(b"".join(table.column("raw").to_pylist()), np.float32).reshape(n, -1))
         query, target = table.column("query").to_numpy(), table.column("target").to_numpy()
         sim = v.astype(np.float32) @ v.astype(np.float32).T
@@ -142,7 +195,7 @@ def _searched(k: int, least: float, rerank: int) -> Callable[[pa.Table], pa.Tabl
 
 def nearest_vectors(
     df: DataFrame, item: str, vec: str, dim: int, k: int, least: float = -1.0,
-    *, prefix: int = PREFIX, posts: int = POSTS, per_pivot: int = PER_PIVOT, rerank: int = RERANK, longest: int = LIST,
+    *, prefix: int = PREFIX, posts: int = POSTS, per_pivot: int = PER_PIVOT, rerank: int = RERANK, longest: int = LIST, flat: int = FLAT,
 ) -> DataFrame:
     """(item, other, cos): the ``k`` items of greatest cosine to each item, of those with cosine ``least`` or more.
 
@@ -155,7 +208,7 @@ def nearest_vectors(
     spark = df.sparkSession
     scratch = Scratch(spark, "vectors")
     rows = df.where(F.col(item).isNotNull() & usable(F.col(vec), dim)).select(F.col(item).cast("long").alias("item"), F.col(vec).cast("array<float>").alias("vec"))
-    rows = rows.groupBy("item").agg(F.min("vec").alias("vec"))
+    rows = scratch.save(rows.groupBy("item").agg(F.min("vec").alias("vec")), "rows")
     # One row per distinct vector, with its k + 1 smallest items: no item needs more of its copies than that.
     reps = rows.groupBy("vec").agg(smallest(F.col("item"), k + 1).alias("ids"), F.count(F.lit(1)).alias("copies"))
     reps = scratch.save(reps.select(F.col("ids")[0].alias("rep"), "ids", "copies", "vec"), "reps")
@@ -169,7 +222,8 @@ def nearest_vectors(
     prefix = min(prefix, len(pivots))
     posts = min(posts, prefix)
     pivots_b = spark.sparkContext.broadcast(pivots)
-    posted = reps.select("rep", "ids", "vec", "copies").mapInArrow(_posted(pivots_b, prefix, posts), "rep long, ids array<long>, copies long, raw binary, pivots array<int>, ordered binary")
+    width = "int16" if len(pivots) < 1 << 15 else "int32"
+    posted = reps.select("rep", "ids", "vec", "copies").mapInArrow(_posted(pivots_b, prefix, posts, width, flat), "rep long, ids array<long>, copies long, raw binary, pivots array<int>, ordered binary")
     posted = scratch.save(posted, "posted")
     scratch.drop(reps)
     # There are no more lists than pivots, so the long ones are a table of bounded size.
@@ -187,7 +241,7 @@ def nearest_vectors(
         "rep", "ids", "raw", "ordered", "pivot", F.col("cell.qi").alias("qi"), F.col("cell.tj").alias("tj"),
         (F.col("cell.qi") == F.col("mine")).alias("query"), (F.col("cell.tj") == F.col("mine")).alias("target"),
     )
-    found = lists.groupBy("pivot", "qi", "tj").applyInArrow(_searched(k, least, rerank), "rep long, cos double, other long, other_ids array<long>")
+    found = lists.groupBy("pivot", "qi", "tj").applyInArrow(_searched(k, least, rerank, width), "rep long, cos double, other long, other_ids array<long>")
     # Stored, so the postings' shuffle files are gone before the neighbours meet.
     found = scratch.save(found, "found")
     # A neighbour comes from at most ``posts`` lists, so k * posts entries hold k different ones.
@@ -198,7 +252,7 @@ def nearest_vectors(
     # Copies come before all others; a class of more than k needs nobody else.
     every = posted.where("copies = 1").select(F.col("rep").alias("item"), "rep", F.array().cast("array<long>").alias("ids"))
     if not several.isEmpty():
-        every = every.unionByName(rows.join(several, "vec").select("item", "rep", "ids"))
+        every = every.unionByName(join_to_one(rows, several, ["vec"], scratch).select("item", "rep", "ids"))
     every = every.join(outside, "rep", "left")
     own = F.transform(F.filter("ids", lambda i: i != F.col("item")), lambda i: F.struct(F.lit(-1.0).alias("far"), i.alias("other")))
     best = F.slice(F.array_sort(F.concat(own, F.coalesce("outside", F.array().cast("array<struct<far:double,other:bigint>>")))), 1, k)

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from peerlens.llm.permutation import _searched, footrule_closeness, nearest_pivots, nearest_vectors, similar_photos, usable
+from peerlens.llm.permutation import Pivots, _best, _searched, footrule_closeness, nearest_vectors, similar_photos, usable
 from pyspark.sql import functions as F
 
 ROWS = "vec_id long, sha256 string, model string, vec array<float>"
@@ -37,12 +37,23 @@ def neighbours(df):
     return {k: [o for _, o in sorted(v)] for k, v in out.items()}
 
 
-@pytest.mark.parametrize("longest", [2048, 40])
-def test_recall(spark, longest):
+def test_pivots_in_cells():
+    """Most of the nearest pivots are in the nearest cells, and rows with too few there look at all."""
+    v = clusters(4, 6000, 12)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    pivots = np.ascontiguousarray(v[::3][np.random.default_rng(1).permutation(2000)])
+    want, got = _best(v, pivots, 6), Pivots(pivots, 100).nearest(v, 6)
+    assert (Pivots(pivots).nearest(v, 6) == want).all() and (np.sort(got, axis=1)[:, 1:] != np.sort(got, axis=1)[:, :-1]).all()
+    assert np.mean([len(set(a) & set(b)) / 6 for a, b in zip(want, got)]) > 0.9
+    assert (Pivots(pivots[:40], 5).nearest(v[:50], 40) >= 0).all()
+
+
+@pytest.mark.parametrize(("longest", "flat"), [(2048, 4096), (40, 4)])
+def test_recall(spark, longest, flat):
     v = clusters(0, 1500, 12)
     ids = list(range(1, len(v) + 1))
     want = brute(ids, v, 5, 0.9)
-    got = neighbours(nearest_vectors(frame(spark, ids, v).repartition(6), "vec_id", "vec", 16, 5, 0.9, longest=longest))
+    got = neighbours(nearest_vectors(frame(spark, ids, v).repartition(6), "vec_id", "vec", 16, 5, 0.9, longest=longest, flat=flat))
     total = sum(map(len, want.values()))
     hit = sum(len(set(want[i]) & set(got.get(i, []))) for i in ids)
     assert total > 3000 and hit / total >= 0.98
@@ -90,7 +101,7 @@ def test_many_equal_cosines_go_by_the_smaller_item():
         "query": [True] * n, "target": [True] * n,
     })
     got = {}
-    for r in _searched(5, 0.9, 128)(table).to_pylist():
+    for r in _searched(5, 0.9, 128, "int16")(table).to_pylist():
         got.setdefault(r["rep"], set()).add((-round(r["cos"], 12), r["other"]))
     assert all([j for _, j in sorted(got[i])][:5] == [j for j in range(6) if j != i][:5] for i in range(n))
 
@@ -112,5 +123,5 @@ def test_footrule():
 def test_nearest_pivots():
     rng = np.random.default_rng(2)
     p, v = rng.normal(size=(30, 5)).astype(np.float32), rng.normal(size=(50, 5)).astype(np.float32)
-    assert (nearest_pivots(v, p, 4) == np.argsort(-(v @ p.T), axis=1, kind="stable")[:, :4]).all()
-    assert nearest_pivots(v, p[:3], 3).shape == (50, 3)
+    assert (_best(v, p, 4) == np.argsort(-(v @ p.T), axis=1, kind="stable")[:, :4]).all()
+    assert _best(v, p[:3], 3).shape == (50, 3)
