@@ -44,7 +44,7 @@ def thumbnail(bgr: np.ndarray, side: int = SIDE) -> str:
 
 def thumbnails(paths: DataFrame) -> dict[tuple[str, str], str]:
     """The thumbnail of each readable image of (grp, item, path); the caller bounds how many there are."""
-    at = {r["path"]: (r["grp"], r["item"]) for r in paths.where("path is not null").collect()}
+    at = [r["path"] for r in paths.where("path is not null").select("path").collect()]
     if not at:
         return {}
     decoded = paths.sparkSession.read.format("image").option("dropInvalid", True).load(sorted(at))
@@ -53,8 +53,10 @@ def thumbnails(paths: DataFrame) -> dict[tuple[str, str], str]:
     def small(height, width, channels, data):
         return thumbnail(np.frombuffer(data, np.uint8).reshape(height, width, channels))
 
-    found = decoded.select(F.col("image.origin").alias("path"), small("image.height", "image.width", "image.nChannels", "image.data").alias("shown"))
-    return {at[r["path"]]: r["shown"] for r in found.collect() if r["path"] in at}
+    # The two sources write a path differently; its last two parts are the group and the item.
+    parts = F.split("image.origin", "/")
+    found = decoded.select(F.element_at(parts, -2).alias("grp"), F.element_at(parts, -1).alias("item"), small("image.height", "image.width", "image.nChannels", "image.data").alias("shown"))
+    return {(r["grp"], r["item"]): r["shown"] for r in found.collect()}
 
 
 def nearest(top: DataFrame, ready: Prepared) -> DataFrame:
