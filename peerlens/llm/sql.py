@@ -61,6 +61,20 @@ SELECT group_id, image_id FROM labelled
 WHERE group_id IN (SELECT group_id FROM labelled GROUP BY group_id HAVING count(*) > 1)
 """
 
+#: All pairs of vectors; the query is an index search, so on large tables it may miss a few of these.
+ORACLE["p3_found"] = """
+WITH v AS (
+  SELECT vec_id, min(CAST(vec AS DOUBLE[])) AS v FROM image_vectors
+  WHERE model = 'dinov2' AND len(vec) = 64 AND len(list_filter(vec, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vec, lambda x: x <> 0)) > 0
+  GROUP BY vec_id
+), pair AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS cos FROM v a JOIN v b ON a.vec_id <> b.vec_id
+), best AS (
+  SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY round(cos, 12) DESC, b) AS r FROM pair WHERE cos >= 0.90
+)
+SELECT DISTINCT least(a, b) AS vec_id_a, greatest(a, b) AS vec_id_b FROM best WHERE r <= 5
+"""
+
 ORACLE["p5_found"] = rf"""
 WITH {_RECORDS}, near AS (
   SELECT a.image_id AS a, b.image_id AS b
