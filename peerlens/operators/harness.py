@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +30,28 @@ def targets(groups: DataFrame, fraction: float, seed: int) -> DataFrame:
     return placed.where(F.col("rank") <= wanted).select("grp")
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(grp, n, total): how many vectors each group has in a batch, and their sum."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        named = batch.column("grp").dictionary_encode()
+        code = named.indices.fill_null(len(named.dictionary)).to_numpy()
+        flat = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        order = np.argsort(code, kind="stable")
+        begin = np.flatnonzero(np.diff(code[order], prepend=-1))
+        total = np.add.reduceat(flat[order], begin, axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("grp").take(pa.array(order[begin])), pa.array(np.diff(np.append(begin, batch.num_rows))), pa.array(list(total), pa.list_(pa.float64()))], names=["grp", "n", "total"],
+        )
+
+
 def nearest_groups(reps: DataFrame, asking: DataFrame) -> DataFrame:
     """(grp, donor): the other group whose mean vector is most like that of each asking group; equal ones by name."""
-    parts = reps.select("grp", F.posexplode("vec").alias("i", "x")).groupBy("grp", "i").agg(F.avg("x").alias("x"))
+    # Each batch of rows becomes one sum per group of it, so a group's items aren't exploded one by one.
+    kind = reps.schema["grp"].dataType.simpleString()
+    sums = reps.where("vec is not null").select("grp", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(_summed, f"grp {kind}, n bigint, total array<double>")
+    parts = sums.select("grp", "n", F.posexplode("total").alias("i", "x")).groupBy("grp", "i").agg((F.sum("x") / F.sum("n")).alias("x"))
     mean = parts.groupBy("grp").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("vec"))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x))
     mean = mean.withColumn("norm", norm).where("norm > 0").select(F.lit("all").alias("grp"), F.col("grp").alias("item"), F.expr("transform(vec, x -> x / norm)").alias("vec"))

@@ -318,6 +318,7 @@ def decisions(spark, sf_dir):
     return decided.select("grp", "item", "kind", _r("suspicion"), "flagged", "dup_of", "rep_flagged", "other_grp", "other_item", "rank")
 
 
+# The sentences of a reason, as in explain.py.
 _REASON = """CASE WHEN kind = 'unreadable' THEN 'File could not be decoded as an image.'
   WHEN kind = 'cross_duplicate' THEN 'Identical file (content hash match) also submitted under ' || other_grp || '/' || other_item || '; the same photo cannot document two outlets.'
   WHEN kind = 'duplicate' THEN 'Identical copy of ' || dup_of || ' (content hash match); duplicate submission adds no new evidence of a visit.' || CASE WHEN rep_flagged THEN ' The original copy is itself flagged.' ELSE '' END END"""
@@ -344,6 +345,14 @@ def flagged_reasons(spark, sf_dir):
     return rows.where("flagged").select("grp", "item", "kind", "reason")
 
 
+@_query(q.AUDIT + f" SELECT grp, item, {_NUMBERS} AS reason FROM ranked, floors WHERE kind IN ('scored', 'pair') AND s IS NOT NULL")
+def content_reasons(spark, sf_dir):
+    """What the evidence says of every scored item, flagged or not: statistic and subgroup, or that it is one of a pair."""
+    decided, _, ratio, _ = _audited(spark, sf_dir, "content-reasons")
+    rows = decided.where("kind in ('scored', 'pair') and s is not null")
+    return rows.select("grp", "item", explain.reason(ratio.floor(CFG.gate.p_thresh), ratio.support_floor).alias("reason"))
+
+
 @_query(q.AUDIT + """ SELECT r.grp AS outlet_id, 0 AS piece, CAST(count(*) AS INTEGER) AS total_images, CAST(count(*) FILTER (WHERE flagged) AS INTEGER) AS n_flagged,
   coalesce(string_agg(item, '|' ORDER BY rank) FILTER (WHERE flagged), '') AS flagged_images, string_agg(item, '|' ORDER BY rank) AS ranking,
   round(max(m.median_s), 3) AS folder_median_consensus, coalesce(max(m.n_scored) >= 3 AND max(m.median_s) < 0.45, false) AS review_folder
