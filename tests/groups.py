@@ -25,5 +25,11 @@ def scattered(rng, n, dim=8):
     return turns[:, :, 0]
 
 
+def turned_fan(rng, n, cosine, strangers=0, dim=DIM):
+    """A fan in a random turn of the axes, and then ``strangers`` at right angles to all of it."""
+    turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+    return np.vstack([fan(axis(0, dim), n, cosine, 1), *[axis(n + 1 + k, dim)[None] for k in range(strangers)]]) @ turn
+
+
 def rows(groups):
     return [(g, f"i{k:03d}", [float(x) for x in v]) for g, vs in groups.items() for k, v in enumerate(vs)]

@@ -4,18 +4,16 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from tests.test_consensus import around, unit
+from tests.groups import axis, between, turned_fan
 
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     """Eight groups with two odd items each, one with four items of another place, a pair that doesn't match, a copy and an unreadable item."""
     rng = np.random.default_rng(31)
-    u = lambda: unit(rng.normal(size=64))
-    groups = {f"g{g}": np.vstack([around(rng, u(), 8, 0.05), u()[None], u()[None]]) for g in range(8)}
-    groups |= {"mixed": np.vstack([around(rng, u(), 10, 0.05), around(rng, u(), 4, 0.05)])}
-    a, o = u(), u()
-    groups["pair"] = np.vstack([a, 0.03 * a + unit(o - (o @ a) * a)])
+    groups = {f"g{g}": turned_fan(rng, 8, 0.94, strangers=2) for g in range(8)}
+    groups |= {"mixed": np.vstack([turned_fan(rng, 10, 0.94), turned_fan(rng, 4, 0.94)])}
+    groups["pair"] = np.stack([axis(0), between(axis(0), axis(1), 0.03)])
     images = [(g, f"i{k:02d}", f"{g}-{k}", True, None) for g, vs in groups.items() for k in range(len(vs))] + [("g0", "copy", "g0-0", True, None), ("g1", "broken", "x", False, None)]
     vectors = [(f"{g}-{k}", "dinov2", [float(x) for x in v]) for g, vs in groups.items() for k, v in enumerate(vs)]
     at = str(tmp_path_factory.mktemp("tables"))
